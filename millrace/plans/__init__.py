@@ -1,0 +1,5 @@
+"""Registered queries, one module for each part of the inventory."""
+
+from millrace.plans import scans, sinks
+
+ALL = (scans, sinks)

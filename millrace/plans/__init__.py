@@ -1,5 +1,5 @@
 """Registered queries, one module for each part of the inventory."""
 
-from millrace.plans import scans, sinks
+from millrace.plans import aggregates, governed, ingestion, joins, projections, scans, sinks
 
-ALL = (scans, sinks)
+ALL = (scans, sinks, projections, joins, aggregates, ingestion, governed)

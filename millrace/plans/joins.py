@@ -78,7 +78,7 @@ def d6_full_outer_difference(spark, sf_dir):
             .where(~F.col("views").eqNullSafe(F.col("purchases"))))
 
 
-@query("""SELECT 'missing c_phone, extra c_acctbal, extra c_mktsegment, type c_nationkey' AS diff, count(*) AS customers
+@query("""SELECT 'extra c_acctbal, extra c_mktsegment, type c_nationkey, missing c_phone' AS diff, count(*) AS customers
           FROM customer""")
 def d6_contract_difference(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")

@@ -90,12 +90,12 @@ def either_key_join(left: DataFrame, right: DataFrame, left_key: str, right_keys
     """left.key = right.a OR left.key = right.b, as one equi-join.
 
     Each right row is offered once per distinct key, so no pair comes out twice
-    and no nested loop or de-duplication is needed.
+    and no nested loop or de-duplication is needed. A key that very many right rows
+    name (a parent with many children) is salted.
     """
     offered = right.withColumn("_key", F.explode(
         F.array_distinct(F.array_compact(F.array(*[F.col(k) for k in right_keys])))))
-    return (left.withColumn("_key", F.col(left_key)).where(F.col("_key").isNotNull())
-            .join(offered, "_key").drop("_key"))
+    return hot_salted_join(offered, left.withColumn("_key", F.col(left_key)), "_key").drop("_key")
 
 
 def side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:

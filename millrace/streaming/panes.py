@@ -39,9 +39,9 @@ class LatePanes(StatefulProcessor):
         if watermark >= start_ms:  # later than allowed
             return
         on_time_until = start_ms + self.length_ms - self.delay_ms
-        first = not self.state.exists()
-        sales, cents, panes, unfired = (0, 0, 0, False) if first else self.state.get()
-        if first:
+        known = self.state.get()
+        sales, cents, panes, unfired = known or (0, 0, 0, False)
+        if known is None:
             if watermark < on_time_until:
                 self.handle.registerTimer(on_time_until)
             self.handle.registerTimer(start_ms)
@@ -60,9 +60,10 @@ class LatePanes(StatefulProcessor):
         self.state.update((sales, cents, panes, False))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self.state.exists():
+        known = self.state.get()
+        if known is None:
             return
-        sales, cents, panes, unfired = self.state.get()
+        sales, cents, panes, unfired = known
         if unfired:
             yield self._row(key, sales, cents, ON_TIME, panes)
             self.state.update((sales, cents, panes + 1, False))

@@ -3,17 +3,29 @@
 A commit writes new folders first and then appends a few rows to the table's log:
 one for each partition it changed. A reader takes, for each partition, the newest
 row committed by the moment it asks for. Deleting or restoring one day therefore
-touches one day, and a failed write stays invisible. One writer at a time.
+touches one day, and a failed write stays invisible. The log carries the schema, so
+no reader has to open files to infer it. One writer at a time.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-LOG_SCHEMA = "version long, committed_at timestamp, part string, path string, columns array<string>"
+LOG_SCHEMA = "version long, committed_at timestamp, part string, path string, schema string"
 WHOLE = "all"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class State:
+    """What a table consists of at some moment: folder by partition, schema, newest version."""
+    paths: dict[str, str]
+    schema: T.StructType
+    version: int
 
 
 class VersionedTable:
@@ -29,53 +41,43 @@ class VersionedTable:
                                                  F.count("part").alias("parts_changed"))
 
     def as_of(self, moment: dt.datetime) -> DataFrame:
-        return self._read(F.col("committed_at") <= F.lit(moment))
+        return self._read(self._state(F.col("committed_at") <= F.lit(moment)))
 
     def version(self, number: int) -> DataFrame:
-        return self._read(F.col("version") <= F.lit(number))
+        return self._read(self._state(F.col("version") <= F.lit(number)))
 
     def latest(self) -> DataFrame:
-        return self._read(F.lit(True))
-
-    def _live(self, wanted: Column) -> tuple[dict[str, str], list[str]]:
-        """Path by partition, and the column list, from the log (one row a partition)."""
-        log = self.log().where(wanted)
-        newest = (log.where("part is not null").groupBy("part")
-                  .agg(F.max_by("path", "version").alias("path")).where("path is not null"))
-        paths = {r["part"]: r["path"] for r in newest.collect()}
-        columns = log.agg(F.max_by("columns", "version").alias("columns")).first()["columns"]
-        if columns is None:
+        return self._read(self._state())
+
+    def _state(self, wanted: Column | None = None) -> State:
+        """One aggregation over the log; one row a partition reaches the driver."""
+        log = self.log() if wanted is None else self.log().where(wanted)
+        newest = log.groupBy("part").agg(F.max_by("path", "version").alias("path"),
+                                         F.max_by("schema", "version").alias("schema"),
+                                         F.max("version").alias("version")).collect()
+        if not newest:
             raise ValueError(f"{self.root} has no version that old")
-        return paths, columns
+        last = max(newest, key=lambda r: r["version"])
+        return State({r["part"]: r["path"] for r in newest if r["part"] and r["path"]},
+                     T.StructType.fromJson(json.loads(last["schema"])), last["version"])
 
-    def _read(self, wanted: Column) -> DataFrame:
-        paths, columns = self._live(wanted)
-        if not paths:
-            fields = self.spark.read.option("basePath", self.root).parquet(f"{self.root}/v=*")
-            return fields.select(*columns).limit(0)
-        files = (self.spark.read.option("basePath", self.root).option("mergeSchema", True)
-                 .parquet(*sorted(paths.values())))
-        return files.select(*columns)
+    def _read(self, state: State) -> DataFrame:
+        if not state.paths:
+            return self.spark.createDataFrame([], state.schema)
+        return (self.spark.read.schema(state.schema).option("basePath", self.root)
+                .parquet(*sorted(state.paths.values())).select(*state.schema.fieldNames()))
 
     # -- changing
-    def _next(self) -> int:
-        try:
-            return (self.log().agg(F.max("version")).first()[0] or 0) + 1
-        except Exception as error:  # a table without a log has no version yet
-            if "PATH_NOT_FOUND" in str(error):
-                return 1
-            raise
-
-    def _append_log(self, number: int, when: dt.datetime, parts: list[tuple[str | None, str | None]],
-                    columns: list[str]) -> int:
-        rows = [(number, when, part, path, columns) for part, path in parts] or \
-               [(number, when, None, None, columns)]
+    def _commit(self, number: int, when: dt.datetime | None, schema: T.StructType,
+                parts: list[tuple[str | None, str | None]]) -> int:
+        moment, text = when or dt.datetime.now(), schema.json()
+        rows = [(number, moment, part, path, text) for part, path in parts or [(None, None)]]
         (self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
          .write.mode("append").parquet(f"{self.root}/_log"))
         return number
 
     def _store(self, df: DataFrame, number: int) -> dict[str, str]:
-        """Write the folders of a version; path by partition."""
+        """Write the folders of a version; folder by partition."""
         target = f"{self.root}/v={number}"
         if self.partition is None:
             df.write.mode("overwrite").parquet(target)
@@ -88,78 +90,69 @@ class VersionedTable:
         names = [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
         return {n: f"{target}/{n}" for n in names}
 
+    def create(self, df: DataFrame, when: dt.datetime | None = None) -> int:
+        """The first version. A table that exists is refused."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_log")
+        if folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            raise ValueError(f"{self.root} exists already")
+        return self._commit(1, when, df.schema, list(self._store(df, 1).items()))
+
     def overwrite(self, df: DataFrame, when: dt.datetime | None = None) -> int:
         """A version that holds exactly these rows."""
-        number = self._next()
-        stored = self._store(df, number)
-        gone = set(self._live(F.lit(True))[0]) - set(stored) if number > 1 else set()
-        return self._append_log(number, when or dt.datetime.now(),
-                                [*stored.items(), *((p, None) for p in gone)], df.columns)
+        now = self._state()
+        stored = self._store(df, now.version + 1)
+        gone = [(p, None) for p in now.paths if p not in stored]
+        return self._commit(now.version + 1, when, df.schema, [*stored.items(), *gone])
 
     def replace_partition(self, value, df: DataFrame, when: dt.datetime | None = None) -> int:
         """One partition holds exactly these rows afterwards, even if there are none."""
-        number = self._next()
-        part = f"{self.partition}={value}"
-        stored = self._store(df.where(F.col(self.partition) == F.lit(value)), number)
-        _, columns = self._live(F.lit(True))
-        return self._append_log(number, when or dt.datetime.now(), [(part, stored.get(part))], columns)
+        now, part = self._state(), f"{self.partition}={value}"
+        stored = self._store(df.where(F.col(self.partition) == F.lit(value)), now.version + 1)
+        return self._commit(now.version + 1, when, now.schema, [(part, stored.get(part))])
 
     def delete_where(self, condition: Column, when: dt.datetime | None = None) -> int:
         """SQL DELETE: rows for which the condition is NULL stay. Only touched partitions are rewritten."""
-        number = self._next()
-        paths, columns = self._live(F.lit(True))
-        now = self.latest()
-        hit = F.coalesce(condition, F.lit(False))
+        now = self._state()
+        rows, hit = self._read(now), F.coalesce(condition, F.lit(False))
         if self.partition is None:
-            stored = self._store(now.where(~hit), number)
-            return self._append_log(number, when or dt.datetime.now(), list(stored.items()), columns)
-        touched = [r[0] for r in now.where(hit).select(self.partition).distinct().collect()]
-        keep = now.where(F.col(self.partition).isin(touched) & ~hit) if touched else now.limit(0)
-        if touched and touched[0] is None and len(touched) == 1:
-            keep = now.where(F.col(self.partition).isNull() & ~hit)
-        elif None in touched:
-            keep = now.where((F.col(self.partition).isin([t for t in touched if t is not None])
-                              | F.col(self.partition).isNull()) & ~hit)
-        stored = self._store(keep, number)
-        names = {f"{self.partition}={'__HIVE_DEFAULT_PARTITION__' if t is None else t}" for t in touched}
-        parts = [(n, stored.get(n)) for n in names if n in paths]
-        return self._append_log(number, when or dt.datetime.now(), parts, columns)
+            return self._commit(now.version + 1, when, now.schema,
+                                list(self._store(rows.where(~hit), now.version + 1).items()))
+        day = F.col(self.partition)
+        touched = [r[0] for r in rows.where(hit).select(day).distinct().collect()]
+        in_touched = day.isin([t for t in touched if t is not None])
+        if None in touched:
+            in_touched = day.isNull() | F.coalesce(in_touched, F.lit(False))
+        stored = self._store(rows.where(in_touched & ~hit), now.version + 1)
+        names = [f"{self.partition}={NULL_FOLDER if t is None else t}" for t in touched]
+        return self._commit(now.version + 1, when, now.schema, [(n, stored.get(n)) for n in names])
 
     def insert(self, df: DataFrame, when: dt.datetime | None = None) -> int:
         """INSERT INTO ... SELECT: partitions that receive rows are rewritten with them added."""
-        number = self._next()
-        paths, columns = self._live(F.lit(True))
-        now = self.latest()
-        if self.partition is None:
-            stored = self._store(now.unionByName(df), number)
-            return self._append_log(number, when or dt.datetime.now(), list(stored.items()), columns)
-        touched = df.select(F.col(self.partition)).distinct()
-        same = F.col(f"n.{self.partition}").eqNullSafe(F.col(f"t.{self.partition}"))
-        before = now.alias("n").join(touched.alias("t"), same, "leftsemi")
-        stored = self._store(before.select(*columns).unionByName(df), number)
-        return self._append_log(number, when or dt.datetime.now(), list(stored.items()), columns)
+        now = self._state()
+        rows = self._read(now)
+        if self.partition is not None:
+            touched = df.select(F.col(self.partition).alias("_touched")).distinct()
+            rows = rows.join(touched, rows[self.partition].eqNullSafe(touched["_touched"]), "leftsemi")
+        stored = self._store(rows.unionByName(df), now.version + 1)
+        return self._commit(now.version + 1, when, now.schema, list(stored.items()))
 
     def drop_column(self, name: str, when: dt.datetime | None = None) -> int:
         """A version without the column. No data file is rewritten."""
-        number = self._next()
-        _, columns = self._live(F.lit(True))
-        return self._append_log(number, when or dt.datetime.now(), [], [c for c in columns if c != name])
+        now = self._state()
+        kept = T.StructType([f for f in now.schema.fields if f.name != name])
+        return self._commit(now.version + 1, when, kept, [])
 
     def restore_partition(self, value, moment: dt.datetime, when: dt.datetime | None = None) -> int:
         """Bring one partition back as it was: the log points at the old folder again."""
-        number = self._next()
-        part = f"{self.partition}={value}"
-        old, _ = self._live(F.col("committed_at") <= F.lit(moment))
-        _, columns = self._live(F.lit(True))
-        return self._append_log(number, when or dt.datetime.now(), [(part, old.get(part))], columns)
+        now, part = self._state(), f"{self.partition}={value}"
+        old = self._state(F.col("committed_at") <= F.lit(moment))
+        return self._commit(now.version + 1, when, now.schema, [(part, old.paths.get(part))])
 
     def restore_version(self, earlier: int, when: dt.datetime | None = None) -> int:
         """Make an earlier version the newest one, again without copying data."""
-        number = self._next()
-        old, columns = self._live(F.col("version") <= F.lit(earlier))
-        now, _ = self._live(F.lit(True))
-        parts = [*old.items(), *((p, None) for p in set(now) - set(old))]
-        return self._append_log(number, when or dt.datetime.now(), parts, columns)
+        now, old = self._state(), self._state(F.col("version") <= F.lit(earlier))
+        gone = [(p, None) for p in now.paths if p not in old.paths]
+        return self._commit(now.version + 1, when, old.schema, [*old.paths.items(), *gone])
 
     def snapshot(self, target: str, expires_on: dt.date) -> None:
         """A copy elsewhere; the day on which it expires is part of its folder's name."""

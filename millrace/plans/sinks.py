@@ -93,7 +93,7 @@ def b8_rollup_csv(spark, sf_dir):
 def _versioned(spark, sf_dir, label):
     """Baskets by day at T0."""
     held = VersionedTable(spark, scratch_path(spark, label), "sale_date")
-    held.overwrite(baskets(spark, sf_dir), T0)
+    held.create(baskets(spark, sf_dir), T0)
     return held
 
 
@@ -175,7 +175,7 @@ def n5_restore_overwritten(spark, sf_dir):
     """A whole table overwritten by nothing comes back from the earlier version."""
     held = VersionedTable(spark, scratch_path(spark, "n5"))
     rows = trips(spark, sf_dir)
-    held.overwrite(rows, T0)
+    held.create(rows, T0)
     held.overwrite(rows.limit(0), T1)
     held.restore_version(1, T2)
     return held.latest().groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))

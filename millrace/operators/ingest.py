@@ -84,16 +84,16 @@ def error_rows(parsed: DataFrame, recipe: Recipe) -> DataFrame:
 def ingest_run(parsed: DataFrame, root: str, run: str) -> None:
     """Write good and bad rows in one pass over the source.
 
-    Both kinds go below the folder of the run, split by an ``outcome`` partition, and a
+    Both kinds go below the folder of the run, split by an ``_outcome`` partition, and a
     second write of the same run replaces the first: a retry never doubles a row.
     """
     outcome = F.when(F.col("error").isNull(), "loaded").otherwise("quarantined")
-    parsed.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome").parquet(f"{root}/run={run}")
+    parsed.withColumn("_outcome", outcome).write.mode("overwrite").partitionBy("_outcome").parquet(f"{root}/_run={run}")
 
 
 def _outcome(spark: SparkSession, root: str, outcome: str) -> DataFrame:
-    runs = spark.read.option("basePath", root).parquet(f"{root}/run=*")
-    return runs.where(F.col("outcome") == outcome).drop("outcome", "run")
+    runs = spark.read.option("basePath", root).parquet(f"{root}/_run=*")
+    return runs.where(F.col("_outcome") == outcome).drop("_outcome", "_run")
 
 
 def loaded(spark: SparkSession, root: str, recipe: Recipe) -> DataFrame:

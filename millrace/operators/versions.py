@@ -78,7 +78,7 @@ class VersionedTable:
 
     def _store(self, df: DataFrame, number: int) -> dict[str, str]:
         """Write the folders of a version; folder by partition."""
-        target = f"{self.root}/v={number}"
+        target = f"{self.root}/_version={number}"
         if self.partition is None:
             df.write.mode("overwrite").parquet(target)
             return {WHOLE: target}

@@ -19,7 +19,7 @@ def save_batch(out: str) -> Callable[[DataFrame, int], None]:
     """A batch writes the folder named by its id; when it is replayed it writes it again."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
 
     return save
 
@@ -34,8 +34,8 @@ def save_with_dead_letters(out: str, parsed_to: Callable[[DataFrame], tuple[Data
         batch.persist()
         try:
             good, dead = parsed_to(batch)
-            good.write.mode("overwrite").parquet(f"{out}/sales/batch={batch_id}")
-            dead.write.mode("overwrite").parquet(f"{out}/dead/batch={batch_id}")
+            good.write.mode("overwrite").parquet(f"{out}/sales/_batch={batch_id}")
+            dead.write.mode("overwrite").parquet(f"{out}/dead/_batch={batch_id}")
         finally:
             batch.unpersist()
 
@@ -43,7 +43,7 @@ def save_with_dead_letters(out: str, parsed_to: Callable[[DataFrame], tuple[Data
 
 
 def read_batches(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
+    return spark.read.option("basePath", out).parquet(f"{out}/_batch=*").drop("_batch")
 
 
 @contextmanager

@@ -17,7 +17,7 @@ def count_and_sum(df: DataFrame, by: str | Column, amount: str) -> DataFrame:
 def key_shares(df: DataFrame, key: str, top: int | None = None) -> DataFrame:
     """Rows and share of all rows by key. The total is a scalar, not an unpartitioned window."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).cast("double").alias("total"))
+    total = counts.agg(F.sum("n").cast("double").alias("total"))
     shares = counts.withColumn("share", F.col("n") / total.scalar())
     if top is None:
         return shares

@@ -44,12 +44,12 @@ def parse_lines(lines: DataFrame, recipe: Recipe) -> DataFrame:
 
     A failed value is NULL; an empty field is NULL without being an error.
     """
-    raw = lines.withColumn("_raw", F.from_csv(
-        "body", T.StructType([T.StructField(n, T.StringType()) for n in recipe.names])
-        .simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")))
+    fields = ", ".join(f"_raw_{n} string" for n in recipe.names)
+    # Generated rows: a filter on the result cannot be pushed into the parser and run it again.
+    raw = lines.select("*", F.inline(F.array(F.from_csv("body", fields))))
 
     def raw_of(name):
-        return F.col(f"_raw.{name}")
+        return F.col(f"_raw_{name}")
 
     def failure(name, typed, code, message):
         return F.when(raw_of(name).isNotNull() & typed.isNull(),

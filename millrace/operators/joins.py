@@ -41,10 +41,10 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
 
 def bounded_broadcast_join(fact: DataFrame, dim: DataFrame, on: str | list[str],
                            limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast the dimension if its measured size allows; otherwise salt the join."""
+    """Broadcast the dimension if its measured size allows; otherwise shuffle, hot keys salted."""
     if fits_broadcast(dim, limit):
         return fact.join(F.broadcast(dim), _keys(on))
-    return salted_join(fact, dim, on)
+    return hot_salted_join(fact, dim, on)
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, on: str | list[str], salts: int = 32) -> DataFrame:
@@ -60,29 +60,41 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: str | list[str], salts: int
     return spread.hint("merge").join(copies.hint("merge"), on + ["_salt"]).drop("_salt")
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def hot_keys(df: DataFrame, on: str | list[str], share: float) -> DataFrame:
-    """Keys that hold at least a share of the rows: never more than 1/share of them."""
+    """Keys that hold at least a share of the rows, with ``_share``: never more than 1/share of them."""
     on = _keys(on)
     counts = _with_keys(df, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = _with_keys(df, on).agg(F.count(F.lit(1)).alias("_all"))
-    return counts.where(F.col("_rows") >= total.scalar() * F.lit(share)).select(*on)
+    total = counts.agg(F.sum("_rows").cast("double").alias("_all"))
+    return (counts.withColumn("_share", F.col("_rows") / total.scalar())
+            .where(F.col("_share") >= share).select(*on, "_share"))
 
 
 def hot_salted_join(fact: DataFrame, dim: DataFrame, on: str | list[str],
-                    salts: int = 32, share: float = 0.01) -> DataFrame:
-    """Like ``salted_join``, but only the hot keys are spread and copied.
-
-    The list of hot keys is bounded by 1/share rows, so broadcasting it is safe.
+                    pieces: int | None = None, share: float | None = None) -> DataFrame:
+    """Like ``salted_join``, but only hot keys are spread and copied, as far as each needs it.
+
+    A key is hot when its rows would fill a shuffle partition of average size (or hold one
+    in a hundred rows). It is cut by its share of ``pieces``, by default twice the number of
+    shuffle partitions, so every piece stays below an average partition, however large the
+    cluster. The list of hot keys has at most 1/share rows and the copies together at most
+    ``pieces`` more, so broadcasting the list is safe.
     """
     on = _keys(on)
-    hot = hot_keys(fact, on, share).withColumn("_hot", F.lit(True))
+    pieces = pieces or 2 * _partitions(fact)
+    share = share or min(0.01, 1 / _partitions(fact))
+    hot = hot_keys(fact, on, share).select(
+        *on, F.greatest(F.lit(2), F.ceil(F.col("_share") * pieces)).cast("long").alias("_pieces"))
+    zero = F.lit(0).cast("long")
     spread = (_with_keys(fact, on).join(F.broadcast(hot), on, "left")
-              .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
-                          .otherwise(F.lit(0).cast("long"))).drop("_hot"))
-    all_salts = F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))
+              .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*fact.columns), F.col("_pieces")), zero))
+              .drop("_pieces"))
     copies = (_with_keys(dim, on).join(F.broadcast(hot), on, "left")
-              .withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts)
-                                             .otherwise(F.array(F.lit(0).cast("long"))))).drop("_hot"))
+              .withColumn("_salt", F.explode(F.sequence(zero, F.coalesce(F.col("_pieces") - 1, zero))))
+              .drop("_pieces"))
     return spread.join(copies, on + ["_salt"]).drop("_salt")
 
 

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-ANSWERED = r"^(\d\d:\d\d:\d\d)\s+200\s+(\S+)\s+(\S+)\s+(\d+)ms\s*$"
-FAILED = r"^(\d\d:\d\d:\d\d)\s+ERR\s+(\S+)\s*$"
+ANSWERED = r"^\d\d:\d\d:\d\d\s+200\s+\S+\s+\S+\s+\d+ms\s*$"
+FAILED = r"^\d\d:\d\d:\d\d\s+ERR\s+\S+\s*$"
 
 
 def parse_requests(lines: DataFrame) -> DataFrame:
     """(clock, answered, version, pod, ms, code); lines of another shape are left out."""
-    def part(pattern, i):
-        return F.nullif(F.regexp_extract("value", pattern, i), F.lit(""))
-
-    return lines.select(
-        F.coalesce(part(ANSWERED, 1), part(FAILED, 1)).alias("clock"), F.col("value").rlike(ANSWERED).alias("answered"),
-        part(ANSWERED, 2).alias("version"), part(ANSWERED, 3).alias("pod"),
-        part(ANSWERED, 4).cast("long").alias("ms"), part(FAILED, 2).alias("code")).where("clock IS NOT NULL")
+    field, answered = F.split("value", r"\s+"), F.col("value").rlike(ANSWERED)
+    return lines.where(answered | F.col("value").rlike(FAILED)).select(
+        F.get(field, 0).alias("clock"), answered.alias("answered"),
+        F.when(answered, F.get(field, 2)).alias("version"), F.when(answered, F.get(field, 3)).alias("pod"),
+        F.when(answered, F.regexp_extract(F.get(field, 4), r"^(\d+)ms", 1).cast("long")).alias("ms"),
+        F.when(~answered, F.get(field, 2)).alias("code"))
 
 
 def totals(requests: DataFrame) -> DataFrame:

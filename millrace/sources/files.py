@@ -56,10 +56,10 @@ def read_text_with_offset(spark: SparkSession, path: str) -> DataFrame:
 def read_whitespace(spark: SparkSession, path: str, columns: list[tuple[str, str]],
                     missing: str = "?") -> DataFrame:
     """Whitespace-delimited text; the last column may be quoted and hold spaces."""
-    head = r"\s+".join([r"(\S+)"] * (len(columns) - 1))
-    pattern = rf'^\s*{head}\s+"?([^"]*)"?\s*$'
-    parts = [F.nullif(F.regexp_extract("value", pattern, i + 1), F.lit(missing)).cast(t).alias(c)
-             for i, (c, t) in enumerate(columns)]
+    fields = F.split(F.trim("value"), r"\s+", len(columns))
+    last = len(columns) - 1
+    parts = [F.nullif(F.regexp_replace(F.get(fields, i), '^"|"$', "") if i == last else F.get(fields, i),
+                      F.lit(missing)).cast(t).alias(c) for i, (c, t) in enumerate(columns)]
     return spark.read.text(path).where(F.length(F.trim("value")) > 0).select(*parts)
 
 

@@ -16,6 +16,22 @@ def read_feed(spark: SparkSession, inbox: str) -> DataFrame:
     return spark.readStream.schema(MESSAGE_SCHEMA).json(inbox)
 
 
+def from_kafka(records: DataFrame) -> DataFrame:
+    """Kafka records (read with ``includeHeaders``) as messages; the headers are the attributes."""
+    headers = F.map_from_entries(F.transform(F.coalesce("headers", F.array().cast("array<struct<key:string,value:binary>>")),
+                                             lambda h: F.struct(h["key"].alias("key"), h["value"].cast("string").alias("value"))))
+    place = F.concat_ws("-", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
+    return records.select(F.col("value").cast("string").alias("body"), headers.alias("attributes"),
+                          place.alias("message_id"))
+
+
+def to_kafka(messages: DataFrame) -> DataFrame:
+    """Messages as Kafka records, attributes as headers."""
+    headers = F.transform(F.map_entries("attributes"), lambda e: F.struct(
+        e["key"].alias("key"), e["value"].cast("binary").alias("value")))
+    return messages.select(F.col("body").cast("binary").alias("value"), headers.alias("headers"))
+
+
 def with_event_time(messages: DataFrame) -> DataFrame:
     """``ts`` and ``sale_id`` from the attributes the producer set."""
     return messages.select("*", F.col("attributes")["event_ts"].try_cast("timestamp").alias("ts"),
@@ -30,7 +46,8 @@ def parse_sales(messages: DataFrame) -> DataFrame:
     """
     body = F.from_json("body", "store_id string, total string, _corrupt string",
                        {"columnNameOfCorruptRecord": "_corrupt"})
-    read = messages.withColumn("_sale", body)
+    # Generated rows: a filter on the result cannot be pushed into the parser and run it again.
+    read = messages.select("*", F.explode(F.array(body)).alias("_sale"))
     total = safe_double("_sale.total")
     error = (F.when(F.col("_sale").isNull() | F.col("_sale._corrupt").isNotNull(),
                     F.lit("JSONDecodeError: the body is not a JSON object"))

@@ -47,6 +47,14 @@ def test_salt_spreads_the_hot_key(spark, sides):
     assert largest < hot / 16
 
 
+def test_hot_keys_are_few_and_cut_by_their_share(spark, sides):
+    hot = joins.hot_keys(sides[0], "account_id", 0.01).collect()
+    top = max(hot, key=lambda r: r["_share"])
+    assert top["account_id"] == -1 and 0.55 < top["_share"] < 0.65 and len(hot) <= 100
+    none = joins.hot_keys(spark.range(1000).withColumnRenamed("id", "account_id"), "account_id", 0.01)
+    assert none.count() == 0
+
+
 def test_every_variant_gives_one_answer(sides):
     fact, dim = sides
     want = sorted(map(tuple, joins.sort_merge_join(fact, dim, "account_id").collect()))

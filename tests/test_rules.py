@@ -138,6 +138,18 @@ def test_empty_field_is_null_and_no_error(spark):
     assert row["error"] is None and row["qty"] is None and row["amount"] == 1.5
 
 
+def test_a_line_is_parsed_once(spark):
+    parsed = _parsed(spark, BAD_LINES)
+    for kept in (ingest.good_rows(parsed, POS_RECIPE), ingest.error_rows(parsed, POS_RECIPE)):
+        assert kept._jdf.queryExecution().executedPlan().toString().count("from_csv(") == 1
+
+
+def test_empty_and_missing_lines(spark):
+    frame = spark.createDataFrame([(1, ""), (2, None), (3, "only,two")], "offset long, body string")
+    parsed = ingest.parse_lines(frame, POS_RECIPE)
+    assert parsed.count() == 3 and parsed.where("error IS NOT NULL").count() == 0
+
+
 @pytest.mark.parametrize("text", ["10d", "NaN", "1_000", "", "0x1F", "1 2"])
 def test_not_a_number(spark, text):
     assert spark.range(1).select(S.safe_double(F.lit(text))).first()[0] is None

@@ -122,3 +122,15 @@ def test_totals_and_band(spark):
                                     ).select(F.col("t").cast("timestamp").alias("window_start"), "store_id", "sales", "revenue")
     assert tuple(W.totals_since(windows, "2026-09-27 15:01:00").first()) == (2, 0.3, 2)
     assert W.around(windows, "A", "2026-09-27 15:01:00").count() == 2
+
+
+def test_kafka_records_and_back(spark):
+    records = spark.createDataFrame(
+        [(bytearray(b'{"store_id": "A", "total": 1}'), [("event_ts", bytearray(b"2026-09-27 15:00:00"))], "t", 0, 7),
+         (bytearray(b"x"), None, "t", 1, 8)],
+        "value binary, headers array<struct<key: string, value: binary>>, topic string, partition int, offset long")
+    got = M.from_kafka(records).orderBy("message_id").collect()
+    assert got[0]["attributes"] == {"event_ts": "2026-09-27 15:00:00"} and got[0]["message_id"] == "t-0-7"
+    assert got[1]["attributes"] == {}
+    back = M.to_kafka(M.from_kafka(records)).collect()
+    assert back[0]["headers"][0]["value"] == bytearray(b"2026-09-27 15:00:00")

@@ -21,14 +21,20 @@ def _items(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- model
-@query()
+@query("SELECT count(*) AS n, TRUE AS near_eight_tenths, 0 AS in_both FROM lineitem")
 def o1_hash_split(spark, sf_dir):
+    """Sizes of the split, and rows that would be in both parts."""
     train, test = model.hash_split(_items(spark, sf_dir), KEY)
-    return labelled_union({"train": train.agg(F.count(F.lit(1)).alias("n")),
-                           "test": test.agg(F.count(F.lit(1)).alias("n"))}, "part")
+    parts = labelled_union({"train": train.select(*KEY), "test": test.select(*KEY)}, "part")
+    both = parts.groupBy(*KEY).agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("part") == "train").alias("train"))
+    return both.agg(F.sum("rows").alias("n"), (F.sum("train") / F.sum("rows")).between(0.75, 0.85).alias("near_eight_tenths"),
+                    F.count_if((F.col("train") > 0) & (F.col("train") < F.col("rows"))).alias("in_both"))
 
 
-@query()
+@query("""WITH f AS (SELECT l_returnflag, count(*) AS n, sum(count(*)) OVER () AS total FROM lineitem GROUP BY 1)
+          SELECT feature, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS deviation FROM (VALUES (0), (1), (2)) AS v(feature)
+          UNION ALL SELECT 2 + row_number() OVER (ORDER BY n DESC, l_returnflag), round(n / total, 6),
+                           round(sqrt(n / total * (1 - n / total)), 6) FROM f""")
 def o2_scaled_and_encoded(spark, sf_dir):
     """Mean and population deviation of every scaled number, and how often each indicator is set."""
     from pyspark.ml import Pipeline
@@ -36,8 +42,8 @@ def o2_scaled_and_encoded(spark, sf_dir):
     items = _items(spark, sf_dir)
     fitted = Pipeline(stages=model.feature_stages(NUMERIC, CATEGORY, items.count())).fit(items)
     values = fitted.transform(items).select(F.posexplode(vector_to_array("features")).alias("feature", "v"))
-    return values.groupBy("feature").agg(F.round(F.avg("v"), 6).alias("mean"),
-                                         F.round(F.stddev_pop("v"), 6).alias("deviation"))
+    return values.groupBy(F.col("feature").cast("long").alias("feature")).agg(
+        (F.round(F.avg("v"), 6) + 0.0).alias("mean"), F.round(F.stddev_pop("v"), 6).alias("deviation"))
 
 
 @query("""WITH s AS (SELECT avg(l_quantity) AS m, stddev_pop(l_quantity) AS sd, avg(l_extendedprice) AS my, count(*) AS n FROM lineitem)
@@ -66,25 +72,36 @@ def o4_o5_boosted_error(spark, sf_dir):
     return _scored(spark, sf_dir, lambda *a: model.fit_boosted(*a, rounds=20))
 
 
-@query()
+# The fit on one number, in SQL, and what it predicts for every row.
+ONE_FEATURE_SQL = """(WITH s AS (SELECT avg(l_quantity) AS m, stddev_pop(l_quantity) AS sd, avg(l_extendedprice) AS my, count(*) AS n FROM lineitem),
+    b AS (SELECT sum((l_quantity - m) / sd * (l_extendedprice - my)) / (max(n) + 1) AS slope FROM lineitem, s)
+  SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag, l_quantity, l_extendedprice,
+         my + slope * (l_quantity - m) / sd AS prediction FROM lineitem, s, b)"""
+
+
+@query(f"""SELECT l_returnflag, count(*) AS n, round(avg(abs(l_extendedprice - prediction)), 3) AS mae
+           FROM {ONE_FEATURE_SQL} GROUP BY 1""")
 def o6_save_load_score(spark, sf_dir):
-    """The saved pipeline scores a batch with a category it never saw."""
+    """A saved and loaded pipeline scores the table; its error by group."""
     path = scratch_path(spark, "o6")
-    train, test = model.hash_split(_items(spark, sf_dir), KEY)
-    model.save(model.fit_ridge(train, NUMERIC, CATEGORY, LABEL), path)
-    batch = test.withColumn(CATEGORY, F.when(F.col("l_linenumber") == 1, "Z").otherwise(F.col(CATEGORY)))
-    return model.load(path).transform(batch).select(*KEY, CATEGORY, "prediction")
+    items = _items(spark, sf_dir)
+    model.save(model.fit_ridge(items, ["l_quantity"], None, LABEL), path)
+    scored = model.load(path).transform(items)
+    return scored.groupBy(CATEGORY).agg(F.count(F.lit(1)).alias("n"),
+                                        F.round(F.avg(F.abs(F.col(LABEL) - F.col("prediction"))), 3).alias("mae"))
 
 
-@query()
+@query(f"SELECT l_orderkey, l_partkey, l_quantity, round(prediction, 2) AS prediction FROM {ONE_FEATURE_SQL}")
 def b16_prediction_records(spark, sf_dir):
+    """Predictions as JSON records of instance and prediction, read back."""
     path = scratch_path(spark, "b16")
-    train, test = model.hash_split(_items(spark, sf_dir), KEY)
-    scored = model.fit_ridge(train, NUMERIC, CATEGORY, LABEL).transform(test)
-    model.prediction_records(scored, [*NUMERIC, CATEGORY]).write.json(path)
-    return spark.read.schema("instance struct<l_quantity: double, l_discount: double, l_tax: double, "
-                             "l_returnflag: string>, prediction double").json(path).select(
-        "instance.l_quantity", "instance.l_returnflag", "prediction")
+    items = _items(spark, sf_dir)
+    scored = model.fit_ridge(items, ["l_quantity"], None, LABEL).transform(items)
+    model.prediction_records(scored, ["l_orderkey", "l_partkey", "l_quantity"]).write.json(path)
+    stored = spark.read.schema("instance struct<l_orderkey: long, l_partkey: long, l_quantity: double>, "
+                               "prediction double").json(path)
+    return stored.select("instance.l_orderkey", "instance.l_partkey", "instance.l_quantity",
+                         F.round("prediction", 2).alias("prediction"))
 
 
 @query("""SELECT p_partkey, CASE WHEN p_size % 10 = 0 THEN NULL ELSE 20.0::DOUBLE / (p_size % 10) * 3.2::DOUBLE END AS cost FROM part""")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.scalars import money_sum
@@ -55,10 +53,6 @@ def trailing_mean(daily: DataFrame, series: list[str], day: str, value: str,
     return daily.withColumn(alias, F.avg(value).over(frame))
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def ranked_values(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """One row for each distinct value of a group: ``copies``, ``before`` (rows with a
     smaller value) and ``group_rows``.
@@ -69,20 +63,22 @@ def ranked_values(df: DataFrame, by: list[str], value: str) -> DataFrame:
     when a task is redone.
     """
     shared_root(df.sparkSession)
+    # the keys as one struct: equal also where a key is NULL, and one partitioning serves
+    # the window and the join
+    group = F.struct(*by).alias("_group")
     counts = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
               .agg(F.count(F.lit(1)).alias("copies")))
     ranges = (counts.repartitionByRange(*by, value)
-              .withColumn("_range", F.spark_partition_id()).checkpoint())
-    earlier_ranges = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (ranges.groupBy(*by, "_range").agg(F.sum("copies").alias("_rows"))
+              .select(group, value, "copies", F.spark_partition_id().alias("_range")).checkpoint())
+    earlier_ranges = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (ranges.groupBy("_group", "_range").agg(F.sum("copies").alias("_rows"))
                .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier_ranges), F.lit(0)))
-               .withColumn("group_rows", F.sum("_rows").over(Window.partitionBy(*by))))
-    inside = (Window.partitionBy(*by, "_range").orderBy(value)
+               .withColumn("group_rows", F.sum("_rows").over(Window.partitionBy("_group"))).drop("_rows"))
+    inside = (Window.partitionBy("_group", "_range").orderBy(value)
               .rowsBetween(Window.unboundedPreceding, -1))
     placed = ranges.withColumn("_inside", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
-    joined = placed.join(offsets, _same_keys(placed, offsets, by + ["_range"]))
-    return joined.select(*[placed[c] for c in by], placed[value], placed["copies"],
-                         (F.col("_inside") + F.col("_offset")).alias("before"), F.col("group_rows"))
+    return placed.join(offsets, ["_group", "_range"]).select(
+        "_group.*", value, "copies", (F.col("_inside") + F.col("_offset")).alias("before"), "group_rows")
 
 
 def exclusive_quartiles(df: DataFrame, by: list[str], value: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from millrace.operators.scan_cost import scanned_bytes
 
@@ -65,12 +66,19 @@ def _partitions(df: DataFrame) -> int:
 
 
 def hot_keys(df: DataFrame, on: str | list[str], share: float) -> DataFrame:
-    """Keys that hold at least a share of the rows, with ``_share``: never more than 1/share of them."""
-    on = _keys(on)
-    counts = _with_keys(df, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows").cast("double").alias("_all"))
-    return (counts.withColumn("_share", F.col("_rows") / total.scalar())
-            .where(F.col("_share") >= share).select(*on, "_share"))
+    """Keys that hold at least a share of the rows, with ``_share``.
+
+    One job: the total is observed while the keys are counted. At most 1/share keys can
+    be hot, so no more than that reach the driver and the list is a constant afterwards.
+    """
+    on, total = _keys(on), Observation()
+    counts = (_with_keys(df, on).groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
+              .observe(total, F.sum("_rows").alias("rows")))
+    largest = counts.orderBy(F.desc("_rows"), *on).limit(math.ceil(1 / share)).collect()
+    rows = total.get["rows"] or 0
+    found = [(*[r[k] for k in on], r["_rows"] / rows) for r in largest if r["_rows"] >= share * rows]
+    schema = T.StructType([*[df.schema[k] for k in on], T.StructField("_share", T.DoubleType())])
+    return df.sparkSession.createDataFrame(found, schema)
 
 
 def hot_salted_join(fact: DataFrame, dim: DataFrame, on: str | list[str],

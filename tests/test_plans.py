@@ -105,4 +105,4 @@ def test_hot_group_is_ranked_in_many_ranges(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert [r[0] for r in got] == [True]
     text = plan(ranked)
-    assert "hashpartitioning(g" in text and "_range" in text
+    assert "hashpartitioning(_group" in text and "_range" in text

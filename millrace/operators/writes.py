@@ -18,6 +18,7 @@ def replace_partition(df: DataFrame, path: str, column: str, value) -> None:
 
     The partition's own folder is overwritten, so a frame without rows clears it;
     dynamic partition overwrite would leave the old rows. Rows of other partitions are refused.
+    Readers may see the gap between delete and write; ``VersionedTable`` has none.
     """
     inside = df.withColumn(column, F.when(F.col(column) == F.lit(value), F.col(column))
                            .otherwise(F.raise_error(F.lit(f"a row does not belong to {column}={value}"))))
@@ -51,8 +52,11 @@ def export_ordered(df: DataFrame, path: str, order: list[str]) -> None:
 
 
 def export_rollup_csv(rollup: DataFrame, path: str) -> None:
-    """A finished rollup (a few rows) as one CSV file with a header."""
-    rollup.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """A finished rollup (a few rows) as one CSV file with a header.
+
+    The aggregation itself stays parallel; only its result is brought together.
+    """
+    rollup.repartition(1).write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_day_range(spark: SparkSession, path: str, column: str, low, high) -> DataFrame:

@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.scalars import money
@@ -29,11 +31,13 @@ class LatePanes(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("totals", "sales long, cents long, panes long, unfired boolean")
 
-    def _row(self, key, sales: int, cents: int, pane: str, index: int) -> Row:
+    def _panes(self, key, sales, cents, pane: str, index) -> pd.DataFrame:
+        """One pane, or one for each element of the columns."""
         store, start_ms = key
-        return Row(start_ms=start_ms, store_id=store, sales=sales, cents=cents, pane=pane, pane_index=index)
+        return pd.DataFrame({"start_ms": start_ms, "store_id": store, "sales": np.atleast_1d(sales),
+                             "cents": np.atleast_1d(cents), "pane": pane, "pane_index": np.atleast_1d(index)})
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         start_ms = key[1]
         watermark = timerValues.getCurrentWatermarkInMs()
         if watermark >= start_ms:  # later than allowed
@@ -46,26 +50,27 @@ class LatePanes(StatefulProcessor):
                 self.handle.registerTimer(on_time_until)
             self.handle.registerTimer(start_ms)
         if watermark < on_time_until:
-            for row in rows:
-                sales, cents = sales + 1, cents + row.cents
+            for part in rows:
+                sales, cents = sales + len(part), cents + int(part["cents"].sum())
             self.state.update((sales, cents, panes, True))
             return
         if unfired:  # rows are handled before the timers of the same batch
-            yield self._row(key, sales, cents, ON_TIME, panes)
-            panes += 1
-        for row in rows:
-            sales, cents = sales + 1, cents + row.cents
-            yield self._row(key, sales, cents, LATE, panes)
+            yield self._panes(key, sales, cents, ON_TIME, panes)
             panes += 1
+        for part in rows:
+            nth = np.arange(len(part))
+            running = cents + part["cents"].to_numpy().cumsum()
+            yield self._panes(key, sales + 1 + nth, running, LATE, panes + nth)
+            sales, cents, panes = sales + len(part), int(running[-1]), panes + len(part)
         self.state.update((sales, cents, panes, False))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         known = self.state.get()
         if known is None:
             return
         sales, cents, panes, unfired = known
         if unfired:
-            yield self._row(key, sales, cents, ON_TIME, panes)
+            yield self._panes(key, sales, cents, ON_TIME, panes)
             self.state.update((sales, cents, panes + 1, False))
         if expiredTimerInfo.getExpiryTimeInMs() >= key[1]:
             self.state.clear()
@@ -85,7 +90,7 @@ def late_panes(sales: DataFrame, length_seconds: int = 60, lateness_seconds: int
     start = (F.floor(F.unix_millis("ts") / length_ms) * length_ms).cast("long")
     keyed = timed.select("ts", "store_id", start.alias("start_ms"),
                          (money("total") * 100).cast("long").alias("cents"))
-    panes = keyed.groupBy("store_id", "start_ms").transformWithState(
+    panes = keyed.groupBy("store_id", "start_ms").transformWithStateInPandas(
         LatePanes(length_ms, lateness_seconds * 1000), PANE_SCHEMA, "Append", "EventTime")
     return panes.select(F.timestamp_millis("start_ms").alias("window_start"), "store_id", "sales",
                         (F.col("cents") / 100).alias("revenue"), "pane", "pane_index")

@@ -10,10 +10,12 @@ from millrace.functions.scalars import money_sum
 def once_per_sale(sales: DataFrame, delay: str = "10 minutes", salts: int = 16) -> DataFrame:
     """Drop repeats of a producer's id. The state is bounded by the watermark delay.
 
-    One id may be repeated very often. Its copies are first reduced in ``salts`` groups
-    by message, so that at most that many of them meet in one task.
+    One id may be repeated very often. Its copies are first reduced in ``salts`` groups, by
+    input partition and message, so that at most that many of them meet in one task. Which
+    group a copy falls into does not matter to the result.
     """
-    salted = sales.withColumn("_salt", F.pmod(F.xxhash64("message_id"), F.lit(salts))).withWatermark("ts", delay)
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), "message_id"), F.lit(salts))
+    salted = sales.withColumn("_salt", salt).withWatermark("ts", delay)
     return (salted.dropDuplicatesWithinWatermark(["sale_id", "_salt"]).drop("_salt")
             .dropDuplicatesWithinWatermark(["sale_id"]))
 

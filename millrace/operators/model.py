@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import math
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,21 +16,41 @@ def hash_split(df: DataFrame, key: list[str], train_tenths: int = 8) -> tuple[Da
     return df.where(bucket < train_tenths), df.where(bucket >= train_tenths)
 
 
-def feature_stages(numeric: list[str], category: str | None, rows: int) -> list:
+@dataclass(frozen=True)
+class TrainingFacts:
+    """What the features need to know of the training rows, from one pass over them."""
+    rows: int
+    means: dict[str, float]
+    deviations: dict[str, float]
+    label_deviation: float
+    categories: list[str]
+
+
+def training_facts(train: DataFrame, numeric: list[str], category: str | None, label: str) -> TrainingFacts:
+    """Means, population deviations and the (few) values of the category."""
+    aggs = [F.count(F.lit(1)).alias("rows"), F.stddev_pop(label).alias("label_deviation")]
+    aggs += [F.avg(c).alias(f"mean_{c}") for c in numeric] + [F.stddev_pop(c).alias(f"dev_{c}") for c in numeric]
+    if category:
+        aggs.append(F.sort_array(F.collect_set(category)).alias("categories"))
+    one = train.agg(*aggs).first()
+    return TrainingFacts(one["rows"], {c: one[f"mean_{c}"] for c in numeric}, {c: one[f"dev_{c}"] for c in numeric},
+                         one["label_deviation"], list(one["categories"]) if category else [])
+
+
+def feature_stages(facts: TrainingFacts, category: str | None) -> list:
     """Numbers scaled by their population deviation, and a category as indicators.
 
-    A category that training did not see becomes all zeros. Spark scales by the sample
-    deviation, so a constant factor follows.
+    The stages are ready-made from the facts, so fitting them costs no further pass. A
+    constant number becomes zero, and a category that training did not see all zeros.
     """
-    factor = math.sqrt((rows - 1) / rows) if rows > 1 else 1.0
-    # scaled by the sample deviation s, wanted is the population deviation s * factor
-    stages = [VectorAssembler(inputCols=numeric, outputCol="_numbers"),
-              StandardScaler(inputCol="_numbers", outputCol="_standard", withMean=True, withStd=True),
-              ElementwiseProduct(inputCol="_standard", outputCol="_scaled",
-                                 scalingVec=Vectors.dense([1 / factor] * len(numeric)))]
-    inputs = ["_scaled"]
+    scaled = {f"_scaled_{c}": (f"(`{c}` - {facts.means[c]!r}D) / {d!r}D" if d else "0D")
+              for c, d in facts.deviations.items()}
+    columns = ", ".join(f"{e} AS `{n}`" for n, e in scaled.items())
+    stages = [SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")]
+    inputs = list(scaled)
     if category:
-        stages += [StringIndexer(inputCol=category, outputCol="_index", handleInvalid="keep"),
+        stages += [StringIndexerModel.from_labels(facts.categories, inputCol=category, outputCol="_index",
+                                                  handleInvalid="keep"),
                    OneHotEncoder(inputCol="_index", outputCol="_indicators", dropLast=True)]
         inputs.append("_indicators")
     return [*stages, VectorAssembler(inputCols=inputs, outputCol="features")]
@@ -43,19 +62,19 @@ def fit_ridge(train: DataFrame, numeric: list[str], category: str | None, label:
 
     Spark divides the loss by the number of rows and scales the label, hence the factor.
     """
-    about = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
+    facts = training_facts(train, numeric, category, label)
     regression = LinearRegression(featuresCol="features", labelCol=label, solver="normal", elasticNetParam=0.0,
-                                  standardization=False, regParam=alpha * about["sd"] / about["n"])
-    return Pipeline(stages=[*feature_stages(numeric, category, about["n"]), regression]).fit(train)
+                                  standardization=False, regParam=alpha * facts.label_deviation / facts.rows)
+    return Pipeline(stages=[*feature_stages(facts, category), regression]).fit(train)
 
 
 def fit_boosted(train: DataFrame, numeric: list[str], category: str | None, label: str,
                 rounds: int = 100, seed: int = 7) -> PipelineModel:
     """Boosted trees of depth three with step 0.1."""
-    rows = train.count()
+    facts = training_facts(train, numeric, category, label)
     trees = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, stepSize=0.1, maxDepth=3,
                          seed=seed, checkpointInterval=10)
-    return Pipeline(stages=[*feature_stages(numeric, category, rows), trees]).fit(train)
+    return Pipeline(stages=[*feature_stages(facts, category), trees]).fit(train)
 
 
 def mean_absolute_error(scored: DataFrame, label: str) -> DataFrame:

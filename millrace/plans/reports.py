@@ -33,14 +33,15 @@ def o1_hash_split(spark, sf_dir):
 
 @query("""WITH f AS (SELECT l_returnflag, count(*) AS n, sum(count(*)) OVER () AS total FROM lineitem GROUP BY 1)
           SELECT feature, 0.0::DOUBLE AS mean, 1.0::DOUBLE AS deviation FROM (VALUES (0), (1), (2)) AS v(feature)
-          UNION ALL SELECT 2 + row_number() OVER (ORDER BY n DESC, l_returnflag), round(n / total, 6),
+          UNION ALL SELECT 2 + row_number() OVER (ORDER BY l_returnflag), round(n / total, 6),
                            round(sqrt(n / total * (1 - n / total)), 6) FROM f""")
 def o2_scaled_and_encoded(spark, sf_dir):
     """Mean and population deviation of every scaled number, and how often each indicator is set."""
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     items = _items(spark, sf_dir)
-    fitted = Pipeline(stages=model.feature_stages(NUMERIC, CATEGORY, items.count())).fit(items)
+    facts = model.training_facts(items, NUMERIC, CATEGORY, LABEL)
+    fitted = Pipeline(stages=model.feature_stages(facts, CATEGORY)).fit(items)
     values = fitted.transform(items).select(F.posexplode(vector_to_array("features")).alias("feature", "v"))
     return values.groupBy(F.col("feature").cast("long").alias("feature")).agg(
         (F.round(F.avg("v"), 6) + 0.0).alias("mean"), F.round(F.stddev_pop("v"), 6).alias("deviation"))

@@ -124,6 +124,14 @@ def test_saved_model_ignores_an_unknown_category(spark):
     assert scored.count() == 5 and scored.where("prediction IS NULL").count() == 0
 
 
+def test_constant_number_is_harmless(spark):
+    frame = _frame(spark)[0].withColumn("c", F.lit(4.0))
+    with_it = model.fit_ridge(frame, ["x", "c"], None, "y").transform(frame).select("x", "prediction")
+    without = model.fit_ridge(frame, ["x"], None, "y").transform(frame).select("x", "prediction")
+    pairs = with_it.join(without.withColumnRenamed("prediction", "p"), "x")
+    assert pairs.where(F.abs(F.col("prediction") - F.col("p")) > 1e-8).count() == 0
+
+
 def test_boosted_trees_beat_the_mean(spark):
     frame = _frame(spark)[0]
     train, test = model.hash_split(frame, ["x", "z"])

@@ -7,15 +7,20 @@ plus the window length, and the processor works out the undelayed moment itself.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.scalars import money
 
+# The processor travels with the query: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The codes of a pane that fired on time and of one that fired late.
 ON_TIME, LATE = "1", "2"
 PANE_SCHEMA = "start_ms long, store_id string, sales long, cents long, pane string, pane_index long"

@@ -134,3 +134,15 @@ def test_kafka_records_and_back(spark):
     assert got[1]["attributes"] == {}
     back = M.to_kafka(M.from_kafka(records)).collect()
     assert back[0]["headers"][0]["value"] == bytearray(b"2026-09-27 15:00:00")
+
+
+def test_processor_needs_no_package_on_the_executors():
+    """A Python without this package on its path can load the pickled processor."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    data = cloudpickle.dumps(P.LatePanes(60_000, 3_600_000)).hex()
+    code = f"import pickle; p = pickle.loads(bytes.fromhex('{data}')); print(p.delay_ms)"
+    done = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=60)
+    assert done.stdout.strip() == "3660000", done.stderr[-300:]

@@ -1,6 +1,10 @@
 """The registered queries of this package and the SQL they are checked against."""
 
-from millrace.llm import exact_dedup, minhash
+from millrace.llm import (embeddings, exact_dedup, html_extraction, language, minhash, mixing, packing, quality,
+                          separators, toxicity)
 
-QUERIES = {f.__name__: f for f in (exact_dedup.op2_exact_dedup, minhash.op6_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (
+    mixing.op1_mixing, exact_dedup.op2_exact_dedup, language.op3_language_id, toxicity.op4_toxicity,
+    quality.op5_quality_classifier, minhash.op6_minhash_near_dedup, packing.op7_packing,
+    separators.op8_separator_scan, embeddings.op9_embedding_near_dedup, html_extraction.op10_html_extraction)}
 ORACLES = {"op2_exact_dedup": exact_dedup.OP2_SQL}

@@ -136,8 +136,12 @@ def error_budget(runs: DataFrame, days: int | None = 30, due_hour: int = 6,
                  allowed: float = 0.01) -> DataFrame:
     """Bad minutes of two service levels against the budget, from one pass over the runs.
 
-    Without ``days`` the period is as long as there are runs.
+    The period is the last ``days`` sale dates up to the newest run; without ``days`` it is as
+    long as there are runs.
     """
+    if days:
+        newest = runs.agg(F.max("sale_date"))
+        runs = runs.where(F.col("sale_date") > F.date_sub(newest.scalar(), days))
     due = _due("sale_date", due_hour)
     late = greatest_strict(F.lit(0).cast("long"), boundary_minutes(F.col("finished_at"), due))
     wrong = F.coalesce(boundary_minutes(F.col("corrected_at"), greatest_strict(F.col("finished_at"), due)), F.lit(0))

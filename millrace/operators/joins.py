@@ -27,11 +27,15 @@ def sort_merge_join(fact: DataFrame, dim: DataFrame, on: str | list[str]) -> Dat
 
 
 def adaptive_join(fact: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
-    """No hint: adaptive execution chooses by the sizes it measures and splits skew."""
+    """Both sides shuffled, never broadcast: adaptive execution joins small partitions and splits skewed ones.
+
+    The session must have it on; a setting changed here would hold for all later queries.
+    """
     conf = fact.sparkSession.conf
-    conf.set("spark.sql.adaptive.enabled", "true")
-    conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    return fact.join(dim, _keys(on))
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        if conf.get(key, "true").lower() != "true":
+            raise ValueError(f"{key} is off in this session")
+    return fact.join(dim.hint("merge"), _keys(on))
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:

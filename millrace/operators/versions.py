@@ -15,9 +15,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from millrace.operators.writes import only_partition, partition_folder
+
 LOG_SCHEMA = "version long, committed_at timestamp, part string, path string, schema string"
 WHOLE = "all"
-NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -105,9 +106,11 @@ class VersionedTable:
         return self._commit(now.version + 1, when, df.schema, [*stored.items(), *gone])
 
     def replace_partition(self, value, df: DataFrame, when: dt.datetime | None = None) -> int:
-        """One partition holds exactly these rows afterwards, even if there are none."""
-        now, part = self._state(), f"{self.partition}={value}"
-        stored = self._store(df.where(F.col(self.partition) == F.lit(value)), now.version + 1)
+        """One partition holds exactly these rows afterwards, even if there are none. Rows of others are refused."""
+        now, part = self._state(), partition_folder(self.partition, value)
+        stored = self._store(only_partition(df, self.partition, value), now.version + 1)
+        if set(stored) - {part}:
+            raise RuntimeError(f"rows of {part} were written to {sorted(stored)}")
         return self._commit(now.version + 1, when, now.schema, [(part, stored.get(part))])
 
     def delete_where(self, condition: Column, when: dt.datetime | None = None) -> int:
@@ -123,7 +126,9 @@ class VersionedTable:
         if None in touched:
             in_touched = day.isNull() | F.coalesce(in_touched, F.lit(False))
         stored = self._store(rows.where(in_touched & ~hit), now.version + 1)
-        names = [f"{self.partition}={NULL_FOLDER if t is None else t}" for t in touched]
+        names = [partition_folder(self.partition, t) for t in touched]
+        if set(names) - set(now.paths):
+            raise RuntimeError(f"no partitions {sorted(set(names) - set(now.paths))} in {self.root}")
         return self._commit(now.version + 1, when, now.schema, [(n, stored.get(n)) for n in names])
 
     def insert(self, df: DataFrame, when: dt.datetime | None = None) -> int:
@@ -131,8 +136,10 @@ class VersionedTable:
         now = self._state()
         rows = self._read(now)
         if self.partition is not None:
-            touched = df.select(F.col(self.partition).alias("_touched")).distinct()
-            rows = rows.join(touched, rows[self.partition].eqNullSafe(touched["_touched"]), "leftsemi")
+            # one value for each partition that changes, as in the log; the filter prunes the others
+            touched = [r[0] for r in df.select(self.partition).distinct().collect()]
+            there = F.col(self.partition).isin([t for t in touched if t is not None])
+            rows = rows.where(F.coalesce(there, F.lit(False)) | F.col(self.partition).isNull() if None in touched else there)
         stored = self._store(rows.unionByName(df), now.version + 1)
         return self._commit(now.version + 1, when, now.schema, list(stored.items()))
 
@@ -144,8 +151,10 @@ class VersionedTable:
 
     def restore_partition(self, value, moment: dt.datetime, when: dt.datetime | None = None) -> int:
         """Bring one partition back as it was: the log points at the old folder again."""
-        now, part = self._state(), f"{self.partition}={value}"
+        now, part = self._state(), partition_folder(self.partition, value)
         old = self._state(F.col("committed_at") <= F.lit(moment))
+        if part not in old.paths and part not in now.paths:
+            raise ValueError(f"{self.root} has no partition {part}, now or then")
         return self._commit(now.version + 1, when, now.schema, [(part, old.paths.get(part))])
 
     def restore_version(self, earlier: int, when: dt.datetime | None = None) -> int:

@@ -5,6 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+# Characters that Spark replaces by their code in the name of a partition folder. Fixed values.
+ESCAPED = set(map(chr, range(1, 32))) | set("\x7f\"#%'*/:=?\\{[]^")
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_folder(column: str, value) -> str:
+    """The folder in which Spark keeps the rows with this value of the partition column."""
+    def escaped(text: str) -> str:
+        return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text)
+
+    text = str(value).lower() if isinstance(value, bool) else "" if value is None else str(value)
+    return f"{escaped(column)}={escaped(text) or NULL_FOLDER}"
+
+
+def only_partition(df: DataFrame, column: str, value) -> DataFrame:
+    """The same rows; one that belongs to another partition fails the job."""
+    belongs = F.col(column).eqNullSafe(F.lit(value))
+    return df.where(F.when(belongs, True).otherwise(F.raise_error(F.lit(f"a row does not belong to {column}={value}")).cast("boolean")))
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -20,11 +40,8 @@ def replace_partition(df: DataFrame, path: str, column: str, value) -> None:
     dynamic partition overwrite would leave the old rows. Rows of other partitions are refused.
     Readers may see the gap between delete and write; ``VersionedTable`` has none.
     """
-    inside = df.withColumn(column, F.when(F.col(column) == F.lit(value), F.col(column))
-                           .otherwise(F.raise_error(F.lit(f"a row does not belong to {column}={value}"))))
-    # the check has to be evaluated, so the column is kept as a filter before it is dropped
-    (inside.where(F.col(column).isNotNull()).drop(column)
-     .write.mode("overwrite").parquet(f"{path}/{column}={value}"))
+    (only_partition(df, column, value).drop(column)
+     .write.mode("overwrite").parquet(f"{path}/{partition_folder(column, value)}"))
 
 
 def write_run_errors(df: DataFrame, root: str, run: str) -> None:

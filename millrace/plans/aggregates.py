@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scalars import money_mean, money_sum, month_start
 from millrace.operators import aggregates as A, writes
 from millrace.operators.job_history import spend_by_label
-from millrace.plans.derived import BASKETS_SQL, JOBS_SQL, TRIPS_SQL, baskets, jobs, trips
+from millrace.plans.derived import BASKETS_SQL, JOBS_SQL, TRIPS_SQL, baskets, jobs, spend_sql, trips
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
 
@@ -97,9 +97,9 @@ def e9_text_of_case(spark, sf_dir):
             .agg(A.ordered_distinct_text("remark", ", ").alias("remarks")))
 
 
-@query(f"""SELECT store_id, count(*) AS store_days, CAST(sum(baskets) AS BIGINT) AS baskets, CAST(sum(sales) AS DOUBLE) AS sales
-           FROM (SELECT sale_date, store_id, region, count(DISTINCT basket_id) AS baskets,
-                        sum(CAST(basket_value AS DECIMAL(18,2))) AS sales FROM {BASKETS_SQL} GROUP BY 1, 2, 3) GROUP BY 1""")
+@query(f"""SELECT store_id, count(DISTINCT (sale_date, region)) AS store_days,
+           count(DISTINCT (sale_date, region, basket_id)) AS baskets,
+           CAST(sum(CAST(basket_value AS DECIMAL(18,2))) AS DOUBLE) AS sales FROM {BASKETS_SQL} GROUP BY store_id""")
 def e10_two_level_aggregate(spark, sf_dir):
     daily = baskets(spark, sf_dir).groupBy("sale_date", "store_id", "region").agg(
         F.count_distinct("basket_id").alias("baskets"),
@@ -146,10 +146,7 @@ def e15_key_skew(spark, sf_dir):
     return A.key_shares(trips(spark, sf_dir), "account_id", top=5)
 
 
-@query(f"""SELECT pipeline_label AS pipeline, count(*) AS jobs,
-           round(sum(total_bytes_processed) / pow(2, 20), 1) AS processed_mb,
-           round(sum(coalesce(total_bytes_billed, 0)) / pow(2, 20), 1) AS billed_mb
-           FROM {JOBS_SQL} WHERE labelled AND parent_job_id IS NULL GROUP BY 1""")
+@query(spend_sql())
 def e16_totals_by_label(spark, sf_dir):
     return spend_by_label(jobs(spark, sf_dir), "pipeline")
 

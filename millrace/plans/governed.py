@@ -9,7 +9,7 @@ from millrace.operators import scan_cost as C
 from millrace.operators.governance import ColumnTag, RowPolicy, governed_read
 from millrace.operators.job_history import spend_by_label
 from millrace.operators.sets import labelled_union
-from millrace.plans.derived import BASKETS_SQL, JOBS_SQL, baskets, jobs
+from millrace.plans.derived import BASKETS_SQL, baskets, jobs, spend_sql
 from millrace.plans.registry import query, table
 from millrace.plans.scans import baskets_by_day
 from millrace.session import scratch_path
@@ -90,27 +90,6 @@ def _scans(spark, sf_dir):
                            for t, c in READ.items()}, "source")
 
 
-@query(f"""SELECT source, scan_bytes, greatest(10, CAST(ceil(scan_bytes / 1048576.0) AS BIGINT)) AS billed_mb
-           FROM ({BILLED_SQL})""")
-def m3_billed_bytes(spark, sf_dir):
-    return _scans(spark, sf_dir).withColumn("billed_mb", C.billed_mb(F.col("scan_bytes")))
-
-
-@query(f"""SELECT sum(mb)::BIGINT AS billed_mb, sum(mb)::BIGINT * 1048576 / 1099511627776 * 6.25::DOUBLE AS usd,
-           sum(mb)::BIGINT * 1048576 / 1099511627776 * 6.25::DOUBLE * 8640 AS usd_month
-           FROM (SELECT greatest(10, CAST(ceil(scan_bytes / 1048576.0) AS BIGINT)) AS mb FROM ({BILLED_SQL}))""")
-def m4_price(spark, sf_dir):
-    """The three scans together, once and every five minutes for a month."""
-    total = _scans(spark, sf_dir).agg(F.sum(C.billed_mb(F.col("scan_bytes"))).alias("billed_mb"))
-    return total.select("billed_mb", C.price_usd(F.col("billed_mb")).alias("usd"),
-                        C.monthly_price_usd(F.col("billed_mb"), 5).alias("usd_month"))
-
-
-@query("SELECT count(*) AS row_count, 0 AS scan_bytes FROM lineitem")
-def m5_count_reads_no_column(spark, sf_dir):
-    return C.scanned_bytes(table(spark, sf_dir, "lineitem"), [])
-
-
 @query("SELECT 8 * count(*) AS column_bytes, TRUE AS csv_reads_more, TRUE AS parquet_is_smaller FROM lineitem")
 def m6_csv_against_parquet(spark, sf_dir):
     """A one-column mean reads the whole CSV file, but only one column of the Parquet."""
@@ -131,9 +110,6 @@ def m6_csv_against_parquet(spark, sf_dir):
                      (of("parquet") < of("csv")).alias("parquet_is_smaller"))
 
 
-@query(f"""SELECT pipeline_label AS pipeline, count(*) AS jobs,
-           round(sum(total_bytes_processed) / pow(2, 20), 1) AS processed_mb,
-           round(sum(coalesce(total_bytes_billed, 0)) / pow(2, 20), 1) AS billed_mb
-           FROM {JOBS_SQL} WHERE labelled AND parent_job_id IS NULL AND run_label = 'r3' GROUP BY 1""")
+@query(spend_sql("run_label = 'r3'"))
 def m7_spend_by_label(spark, sf_dir):
     return spend_by_label(jobs(spark, sf_dir), "pipeline", run="r3")

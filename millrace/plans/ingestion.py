@@ -133,22 +133,25 @@ def _partitions(rows):
 
 
 def checks_sql(rows: str, observed_schema: str, schema_status: str) -> str:
-    return f"""WITH r AS (SELECT * FROM {rows}),
-      d AS (SELECT sale_date, count(*) AS n, count(*) FILTER (WHERE basket_value IS NULL)::DOUBLE / count(*) AS null_rate,
-              CAST(sum(CAST(basket_value AS DECIMAL(18,2))) AS DOUBLE) / nullif(count(basket_value), 0) AS mean
-            FROM r WHERE sale_date BETWEEN DATE '2024-01-23' AND DATE '2024-01-30' GROUP BY 1),
-      l AS (SELECT coalesce(max(n), 0) AS n, max(null_rate) AS null_rate, max(mean) AS mean FROM d WHERE sale_date = DATE '2024-01-30'),
-      t AS (SELECT avg(n) AS n, avg(null_rate) AS null_rate, avg(mean) AS mean FROM d WHERE sale_date < DATE '2024-01-30'),
-      f AS (SELECT max(sale_date) AS newest, date_sub('hour', max(loaded_at), TIMESTAMP '2024-01-31 11:00:00') AS h FROM r)
-      SELECT 'freshness' AS signal, printf('newest %s, %d h old', CAST(newest AS VARCHAR), h) AS observed, 'yesterday, < 26 h' AS expected,
-             CASE WHEN newest >= DATE '2024-01-30' AND h < 26 THEN 'GREEN' ELSE 'RED' END AS status FROM f
-      UNION ALL SELECT 'volume', printf('%d rows, %.0f%% of 7-day mean', l.n, 100 * l.n / t.n), '80 to 120%',
-             CASE WHEN l.n / t.n BETWEEN 0.8 AND 1.2 THEN 'GREEN' ELSE 'RED' END FROM l, t
-      UNION ALL SELECT 'schema', '{observed_schema}', '7 columns, typed', '{schema_status}'
-      UNION ALL SELECT 'distribution', printf('null %.1f%%, mean $%.2f', 100 * coalesce(l.null_rate, 0), coalesce(l.mean, 0)),
-             printf('null < %.1f%%, $%.2f ± 10%%', 100 * t.null_rate + 1, t.mean),
-             CASE WHEN coalesce(l.null_rate, 1) < t.null_rate + 0.01 AND abs(l.mean / t.mean - 1) <= 0.1
-                  THEN 'GREEN' ELSE 'RED' END FROM l, t"""
+    return f"""WITH nightly AS (
+        SELECT sale_date = DATE '2024-01-30' AS last, count(*) AS n, 1 - count(basket_value) / count(*)::DOUBLE AS missing,
+               (sum(CAST(basket_value AS DECIMAL(18,2))) / nullif(count(basket_value), 0))::DOUBLE AS mean
+        FROM {rows} GROUP BY sale_date HAVING sale_date >= DATE '2024-01-23' AND sale_date <= DATE '2024-01-30'),
+      compared AS (
+        SELECT coalesce(max(n) FILTER (last), 0) AS n1, avg(n) FILTER (NOT last) AS n7, max(missing) FILTER (last) AS missing1,
+               avg(missing) FILTER (NOT last) AS missing7, max(mean) FILTER (last) AS mean1, avg(mean) FILTER (NOT last) AS mean7
+        FROM nightly),
+      loaded AS (SELECT max(sale_date) AS newest, date_sub('hour', max(loaded_at), TIMESTAMP '2024-01-31 11:00:00') AS age FROM {rows}),
+      signals AS (SELECT unnest([
+        {{'signal': 'freshness', 'observed': printf('newest %s, %d h old', newest::VARCHAR, age), 'expected': 'yesterday, < 26 h',
+          'ok': age < 26 AND newest >= DATE '2024-01-30'}},
+        {{'signal': 'volume', 'observed': printf('%d rows, %.0f%% of 7-day mean', n1, 100 * n1 / n7), 'expected': '80 to 120%',
+          'ok': n1 / n7 >= 0.8 AND n1 / n7 <= 1.2}},
+        {{'signal': 'schema', 'observed': '{observed_schema}', 'expected': '7 columns, typed', 'ok': '{schema_status}' = 'GREEN'}},
+        {{'signal': 'distribution', 'observed': printf('null %.1f%%, mean $%.2f', 100 * coalesce(missing1, 0), coalesce(mean1, 0)),
+          'expected': printf('null < %.1f%%, $%.2f ± 10%%', 1 + 100 * missing7, mean7),
+          'ok': coalesce(missing1, 1) < 0.01 + missing7 AND abs(mean1 / mean7 - 1) <= 0.1}}]) AS s FROM compared, loaded)
+      SELECT s.signal, s.observed, s.expected, CASE WHEN s.ok THEN 'GREEN' ELSE 'RED' END AS status FROM signals"""
 
 
 def _report(rows, visible=None):
@@ -223,14 +226,17 @@ def k14_red_alerts(spark, sf_dir):
     return checks.red_alerts(log).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query(f"""WITH n AS (SELECT state,
-             greatest(0, date_diff('minute', CAST(sale_date AS TIMESTAMP) + INTERVAL 30 HOUR, finished_at)) AS late,
-             coalesce(date_diff('minute', greatest(finished_at, CAST(sale_date AS TIMESTAMP) + INTERVAL 30 HOUR), corrected_at), 0) AS wrong
-             FROM {RUNS_SQL}),
-           m AS (SELECT 'job DONE by 06:00' AS sli, count(*) FILTER (WHERE state = 'DONE') AS done, CAST(sum(late) AS BIGINT) AS bad, CAST(count(*) AS DOUBLE) * 1440 AS minutes FROM n
-                 UNION ALL SELECT 'data fresh and complete', count(*) FILTER (WHERE state = 'DONE'), CAST(sum(late + wrong) AS BIGINT), CAST(count(*) AS DOUBLE) * 1440 FROM n)
-           SELECT sli, done AS nights_done, bad AS bad_min, minutes * 0.01::DOUBLE AS budget_min,
-                  round(100 * (1 - bad / minutes), 2) AS sli_pct, round(100 * bad / (minutes * 0.01::DOUBLE), 1) AS budget_used_pct FROM m""")
+@query(f"""WITH nights AS (
+        SELECT state, epoch(finished_at)::BIGINT // 60 AS finished, epoch(corrected_at)::BIGINT // 60 AS corrected,
+               epoch(CAST(sale_date AS TIMESTAMP))::BIGINT // 60 + 30 * 60 AS due FROM {RUNS_SQL}),
+      period AS (
+        SELECT count(*) FILTER (state = 'DONE') AS done, 1440::DOUBLE * count(*) AS minutes,
+               sum(greatest(finished - due, 0)) AS late, sum(coalesce(corrected - greatest(finished, due), 0)) AS wrong FROM nights),
+      levels AS (SELECT unnest([{{'sli': 'job DONE by 06:00', 'bad': late}}, {{'sli': 'data fresh and complete', 'bad': late + wrong}}]) AS level,
+                        done, minutes FROM period)
+      SELECT level.sli AS sli, done AS nights_done, level.bad::BIGINT AS bad_min, minutes * 0.01::DOUBLE AS budget_min,
+             round(100 - 100 * level.bad / minutes, 2) AS sli_pct, round(100 * level.bad / (minutes * 0.01::DOUBLE), 1) AS budget_used_pct
+      FROM levels""")
 def k15_error_budget(spark, sf_dir):
     return checks.error_budget(load_runs(spark, sf_dir), days=None)
 

@@ -132,9 +132,9 @@ def h2_union_by_name(spark, sf_dir):
         F.col("s_acctbal").alias("balance"), F.col("s_suppkey").alias("key"), F.col("s_name").alias("name")))
 
 
-@query(f"""SELECT r.tier, r.month, r.trips, r.revenue, 1 AS surplus FROM ({BILLING_SQL}) r WHERE tier = 'street'""")
+@query(f"""SELECT r.tier, r.month, r.trips, r.revenue, 1 AS surplus FROM ({BILLING_SQL}) r WHERE tier = 'walk-in'""")
 def h3_result_agreement(spark, sf_dir):
     """Two join variants agree but for the rows that were taken from one of them on purpose."""
     merged = d1_sort_merge_join(spark, sf_dir)
-    salted = d3_salted_join(spark, sf_dir).where("tier <> 'street'")
+    salted = d3_salted_join(spark, sf_dir).where("tier <> 'walk-in'")
     return sets.disagreement(merged, salted)

@@ -226,11 +226,11 @@ def i_guarded_casts(spark, sf_dir):
 
 @query("""SELECT event_id, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k,
           CAST(NULL AS VARCHAR) AS missing, 'A' || lpad(CAST(user_id % 100000 AS VARCHAR), 5, '0') AS account,
-          CASE event_id % 3 WHEN 0 THEN 'standard' WHEN 1 THEN 'preferred' ELSE 'enterprise' END AS tier FROM events""")
+          CASE event_id % 3 WHEN 0 THEN 'low' WHEN 1 THEN 'middle' ELSE 'high' END AS tier FROM events""")
 def i_json_and_arrays(spark, sf_dir):
     """A JSON body with a missing key, padded numbers, an element of an array."""
     body = F.from_json("props", "k long, missing string")
-    tiers = F.array(F.lit("standard"), F.lit("preferred"), F.lit("enterprise"))
+    tiers = F.array(F.lit("low"), F.lit("middle"), F.lit("high"))
     return (table(spark, sf_dir, "events").withColumn("body", body)
             .select("event_id", "body.k", "body.missing",
                     F.format_string("A%05d", F.col("user_id") % 100000).alias("account"),

@@ -70,7 +70,7 @@ def o3_o5_ridge_error(spark, sf_dir):
 @query()
 def o4_o5_boosted_error(spark, sf_dir):
     shared_root(spark)  # tree checkpoints
-    return _scored(spark, sf_dir, lambda *a: model.fit_boosted(*a, rounds=20))
+    return _scored(spark, sf_dir, model.fit_boosted)
 
 
 # The fit on one number, in SQL, and what it predicts for every row.

@@ -10,7 +10,6 @@ from millrace.operators.scan_cost import stored_file_bytes
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
 from millrace.sources import files, metadata
-from millrace.sources.generate import SENTINEL, account_dimension, skewed_facts
 
 ORDER_SCHEMA = ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
                 "o_orderdate timestamp_ntz, o_orderpriority string")
@@ -144,14 +143,6 @@ def a10_number_arrays(spark, sf_dir):
         instance[0].alias("quantity"), instance[1].alias("discount"), instance[2].alias("tax"))
 
 
-@query("""SELECT * FROM (VALUES (1, 'l_orderkey', 'bigint'), (2, 'l_partkey', 'bigint'), (3, 'l_suppkey', 'bigint'),
-          (4, 'l_linenumber', 'int'), (5, 'l_quantity', 'double'), (6, 'l_extendedprice', 'double'),
-          (7, 'l_discount', 'double'), (8, 'l_tax', 'double'), (9, 'l_returnflag', 'string'),
-          (10, 'l_linestatus', 'string'), (11, 'l_shipdate', 'timestamp_ntz')) AS t(ordinal, column_name, data_type)""")
-def a14_column_metadata(spark, sf_dir):
-    return metadata.columns_of(table(spark, sf_dir, "lineitem"))
-
-
 @query(f"""SELECT strftime(sale_date, '%Y%m%d') AS partition_id, count(*) AS total_rows, TRUE AS has_time
            FROM {BASKETS_SQL} GROUP BY 1""")
 def a15_partition_metadata(spark, sf_dir):
@@ -168,15 +159,3 @@ def a16_inline_table(spark, sf_dir):
                                     [("1-URGENT", 3), ("2-HIGH", 2), ("3-MEDIUM", 1)])
     return (table(spark, sf_dir, "orders").join(F.broadcast(weights), "o_orderpriority")
             .groupBy("weight").agg(F.count(F.lit(1)).alias("n")))
-
-
-@query("SELECT count(*) AS trips, 4 AS tiers, 1 AS hot_accounts, TRUE AS hot_share_as_asked FROM lineitem")
-def a17_generate_skewed(spark, sf_dir):
-    """As many generated trips as lineitem has rows; every trip has an account, one account is hot."""
-    rows = table(spark, sf_dir, "lineitem").count()
-    by_account = (skewed_facts(spark, rows, accounts=5000).groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
-                  .join(account_dimension(spark, 5000), "account_id"))
-    hot = F.col("account_id") == SENTINEL
-    return by_account.agg(
-        F.sum("n").alias("trips"), F.count_distinct("tier").alias("tiers"), F.count_if(hot).alias("hot_accounts"),
-        (F.sum(F.when(hot, F.col("n"))) / F.sum("n")).between(0.55, 0.65).alias("hot_share_as_asked"))

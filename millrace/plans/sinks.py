@@ -146,16 +146,15 @@ def n2_restore_partition(spark, sf_dir):
     return _per_day(held.latest())
 
 
-@query(f"""WITH j AS (SELECT * FROM {JOBS_SQL}),
-     o AS (SELECT job_id AS step_job, pipeline_label AS step, end_time AS step_end FROM j
-           WHERE labelled AND parent_job_id IS NULL AND run_label = 'r3'),
-     s AS (SELECT o.step_job, o.step, o.step_end,
-             sum(CASE WHEN statement_type = 'DELETE' THEN deleted_row_count ELSE 0 END) AS deleted,
-             sum(CASE WHEN statement_type = 'INSERT' THEN inserted_row_count ELSE 0 END) AS inserted
-           FROM o JOIN j ON j.job_id = o.step_job OR j.parent_job_id = o.step_job GROUP BY 1, 2, 3)
-     SELECT step_job, step, strftime(step_end, '%H:%M:%S') AS finished_utc, CAST(deleted AS BIGINT) AS deleted,
-            CAST(inserted AS BIGINT) AS inserted,
-            CAST(date_diff('second', (SELECT min(step_end) FROM o), step_end) AS BIGINT) AS s_after_first FROM s""")
+@query(f"""WITH work AS (
+       SELECT coalesce(parent_job_id, job_id) AS step_job,
+              max(pipeline_label) FILTER (WHERE parent_job_id IS NULL AND labelled AND run_label = 'r3') AS step,
+              max(end_time) FILTER (WHERE parent_job_id IS NULL AND labelled AND run_label = 'r3') AS step_end,
+              coalesce(sum(deleted_row_count) FILTER (WHERE statement_type = 'DELETE'), 0)::BIGINT AS deleted,
+              coalesce(sum(inserted_row_count) FILTER (WHERE statement_type = 'INSERT'), 0)::BIGINT AS inserted
+       FROM {JOBS_SQL} GROUP BY 1)
+     SELECT step_job, step, strftime(step_end, '%H:%M:%S') AS finished_utc, deleted, inserted,
+            date_diff('second', min(step_end) OVER (), step_end) AS s_after_first FROM work WHERE step_end IS NOT NULL""")
 def n3_recovery_report(spark, sf_dir):
     from millrace.operators.job_history import recovery_report
     return recovery_report(jobs(spark, sf_dir), run="r3")

@@ -41,6 +41,7 @@ def with_event_time(messages: DataFrame) -> DataFrame:
 def parse_sales(messages: DataFrame) -> DataFrame:
     """``store_id``, ``total`` and, where a message cannot be used, ``error``.
 
+    An event time that is missing or no time is an error too, where ``with_event_time`` was applied.
     Nothing is retried: an unusable message is data for the dead letters. The error
     names follow those of the usual Python exceptions.
     """
@@ -55,6 +56,8 @@ def parse_sales(messages: DataFrame) -> DataFrame:
              .when(F.col("_sale.total").isNull(), F.lit("KeyError: 'total'"))
              .when(total.isNull(), F.concat(F.lit("ValueError: could not convert string to float: '"),
                                             F.col("_sale.total"), F.lit("'"))))
+    if "ts" in messages.columns:
+        error = error.when(F.col("ts").isNull(), F.lit("ValueError: the event time is missing or no time"))
     return read.select(*messages.columns, F.col("_sale.store_id").alias("store_id"), total.alias("total"),
                        F.substring(error, 1, ERROR_WIDTH).alias("error"))
 

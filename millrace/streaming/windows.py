@@ -12,12 +12,14 @@ def once_per_sale(sales: DataFrame, delay: str = "10 minutes", salts: int = 16)
 
     One id may be repeated very often. Its copies are first reduced in ``salts`` groups, by
     input partition and message, so that at most that many of them meet in one task. Which
-    group a copy falls into does not matter to the result.
+    group a copy falls into does not matter to the result. A sale without an id repeats
+    none: its message stands for it.
     """
+    own = F.struct(F.col("sale_id"), F.when(F.col("sale_id").isNull(), F.col("message_id")).alias("message"))
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), "message_id"), F.lit(salts))
-    salted = sales.withColumn("_salt", salt).withWatermark("ts", delay)
-    return (salted.dropDuplicatesWithinWatermark(["sale_id", "_salt"]).drop("_salt")
-            .dropDuplicatesWithinWatermark(["sale_id"]))
+    salted = sales.withColumn("_salt", salt).withColumn("_sale", own).withWatermark("ts", delay)
+    return (salted.dropDuplicatesWithinWatermark(["_sale", "_salt"]).drop("_salt")
+            .dropDuplicatesWithinWatermark(["_sale"]).drop("_sale"))
 
 
 def window_totals(sales: DataFrame, length: str = "1 minute", delay: str | None = "0 seconds") -> DataFrame:

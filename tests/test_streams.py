@@ -89,7 +89,7 @@ def test_dead_letters(spark, body, error):
 
 
 def test_numeric_text_is_a_total(spark):
-    frame = spark.createDataFrame([('{"store_id": "A", "total": "12.5"}', {}, "M")], M.MESSAGE_SCHEMA)
+    frame = spark.createDataFrame([('{"store_id": "A", "total": "12.5"}', {"event_ts": "2024-01-01 00:00:00"}, "M")], M.MESSAGE_SCHEMA)
     assert M.sales(M.parse_sales(M.with_event_time(frame))).first()["total"] == 12.5
 
 
@@ -146,3 +146,28 @@ def test_processor_needs_no_package_on_the_executors():
     code = f"import pickle; p = pickle.loads(bytes.fromhex('{data}')); print(p.delay_ms)"
     done = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=60)
     assert done.stdout.strip() == "3660000", done.stderr[-300:]
+
+
+def test_sales_without_time_or_id_are_not_lost(spark):
+    from millrace.streaming import messages as M
+    body = '{"store_id": "s", "total": 1}'
+    rows = [(body, {"event_ts": "2024-01-01 00:00:01", "sale_id": "a"}, "m1"), (body, {"event_ts": "soon", "sale_id": "b"}, "m2"),
+            (body, {"sale_id": "c"}, "m3"), (body, None, "m4"), (body, {"event_ts": "2024-01-01 00:00:02"}, "m5")]
+    parsed = M.parse_sales(M.with_event_time(spark.createDataFrame(rows, M.MESSAGE_SCHEMA)))
+    assert {r["message_id"] for r in M.sales(parsed).collect()} == {"m1", "m5"}
+    assert {r["message_id"] for r in M.dead_letters(parsed).collect()} == {"m2", "m3", "m4"}
+
+
+def test_sales_without_an_id_stand_for_themselves(spark, tmp_path):
+    import json
+    from millrace.streaming import messages as M, windows as W
+    body = json.dumps({"store_id": "s", "total": 1})
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    rows = [{"body": body, "attributes": {"event_ts": f"2024-01-01 00:00:0{i}"} | ({"sale_id": "a"} if i > 2 else {}), "message_id": f"m{i}"} for i in range(6)]
+    (inbox / "f.json").write_text("\n".join(map(json.dumps, rows)))
+    feed = W.once_per_sale(M.sales(M.parse_sales(M.with_event_time(M.read_feed(spark, str(inbox))))))
+    query = feed.writeStream.format("memory").queryName("own_ids").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert {r["message_id"] for r in spark.table("own_ids").collect()} >= {"m0", "m1", "m2"}
+    assert spark.table("own_ids").count() == 4

@@ -135,3 +135,39 @@ def test_offsets_are_bytes(spark, tmp_path):
     (tmp_path / "lines.txt").write_bytes("é,1\nab\r\nlast".encode())
     got = sorted(map(tuple, files.read_text_with_offset(spark, str(tmp_path / "lines.txt")).collect()))
     assert got == [(0, "é,1"), (5, "ab"), (9, "last")]
+
+
+HARD_KEYS = ["a:b", "a/b", "c d", "50%", "x=y", "", None]
+
+
+def test_partition_names_that_folders_escape(spark, tmp_path):
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(HARD_KEYS)], "k string, v int")
+    held = VersionedTable(spark, str(tmp_path / "t"), "k")
+    held.create(rows, T0)
+    held.replace_partition("a:b", spark.createDataFrame([("a:b", 9)], "k string, v int"), T1)
+    held.delete_where(F.col("k") == "a/b", T1)
+    assert {r["v"] for r in held.latest().collect()} == {9, 2, 3, 4, 5, 6}
+    held.restore_partition("a/b", T0, T2)
+    held.insert(spark.createDataFrame([("c d", 10), (None, 11)], "k string, v int"), T2)
+    assert {r["v"] for r in held.latest().collect()} == {9, 1, 2, 3, 4, 5, 6, 10, 11}
+    held.delete_where(F.lit(True), T2)
+    assert held.latest().count() == 0
+
+
+def test_boolean_partition_and_foreign_rows(spark, tmp_path):
+    rows = spark.createDataFrame([(True, 1), (False, 2)], "k boolean, v int")
+    held = VersionedTable(spark, str(tmp_path / "t"), "k")
+    held.create(rows, T0)
+    with pytest.raises(Exception, match="does not belong"):
+        held.replace_partition(True, rows, T1)
+    held.delete_where(F.col("k"), T1)
+    assert [r["v"] for r in held.latest().collect()] == [2]
+    with pytest.raises(ValueError, match="no partition"):
+        VersionedTable(spark, str(tmp_path / "t"), "k").restore_partition("maybe", T0, T2)
+
+
+def test_replacing_a_folder_with_an_escaped_name(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("c/d", 1), ("e", 2)], "k string, v int").write.partitionBy("k").parquet(path)
+    writes.replace_partition(spark.createDataFrame([("c/d", 3)], "k string, v int"), path, "k", "c/d")
+    assert {tuple(r) for r in spark.read.parquet(path).select("k", "v").collect()} == {("c/d", 3), ("e", 2)}

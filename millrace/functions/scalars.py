@@ -16,18 +16,23 @@ def _col(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Two exact decimals, so that sums do not depend on the order of rows."""
+    """Two exact decimals, for one amount that is shown; sums take ``exact``."""
     return _col(c).cast("decimal(18,2)")
 
 
+def exact(c: Column | str) -> Column:
+    """Six exact decimals: sums do not depend on the order of rows, and parts of a cent add up."""
+    return _col(c).cast("decimal(28,6)")
+
+
 def money_sum(c: Column | str) -> Column:
-    """Exact sum of money, shown as a double."""
-    return F.sum(money(c)).cast("double")
+    """Exact sum of money, rounded once to two decimals and shown as a double."""
+    return F.round(F.sum(exact(c)), 2).cast("double")
 
 
 def money_mean(c: Column | str) -> Column:
     """Exact sum over the number of non-NULL values; NULL when there are none."""
-    return F.try_divide(F.sum(money(c)).cast("double"), F.count(_col(c)).cast("double"))
+    return F.try_divide(F.sum(exact(c)).cast("double"), F.count(_col(c)).cast("double"))
 
 
 def safe_double(c: Column | str) -> Column:

@@ -36,9 +36,10 @@ def ordered_distinct_text(value: str | Column, separator: str = ",") -> Column:
 def row_of_largest(df: DataFrame, by: list[str], largest: str, first_by: list[str]) -> DataFrame:
     """The row with the largest value in each group; ties go to the smallest ``first_by``."""
     rest = [c for c in df.columns if c not in by]
-    order = F.struct((-F.col(largest)).alias("_largest"), *[F.col(c) for c in first_by])
-    picked = df.where(F.col(largest).isNotNull()).groupBy(*by).agg(
-        F.min_by(F.struct(*rest), order).alias("_row"))
+    # First one row for each value, then the value: any type that has an order will do.
+    firsts = df.where(F.col(largest).isNotNull()).groupBy(*by, F.col(largest).alias("_largest")).agg(
+        F.min_by(F.struct(*rest), F.struct(*first_by)).alias("_row"))
+    picked = firsts.groupBy(*by).agg(F.max_by("_row", "_largest").alias("_row"))
     return picked.select(*by, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 

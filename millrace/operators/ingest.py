@@ -11,6 +11,8 @@ from millrace.functions.scalars import safe_double, safe_int, safe_timestamp
 
 # Codes, messages and stage name of a quarantined record.
 CODE_TYPE, CODE_DATETIME = 0, 2
+CODE_FIELDS = 1  # own code: the line has more or fewer fields than the recipe
+MESSAGE_FIELDS = "The record does not have %d fields."
 MESSAGE_TYPE = "Error encountered while executing 'set-type' : Column '%s' cannot be converted to a '%s'."
 MESSAGE_DATETIME = ("Value %s for column %s is not in expected format yyyy-MM-dd HH:mm:ss "
                     "(ecode: 2, directive: parse-as-datetime)")
@@ -36,17 +38,18 @@ POS_RECIPE = Recipe(("txn_id", "store_id", "txn_ts", "sku", "qty", "amount"),
 
 def without_header(lines: DataFrame, recipe: Recipe) -> DataFrame:
     """Every file starts with the same header line; it is no record."""
-    return lines.where(F.col("body") != recipe.header)
+    return lines.where(~F.col("body").eqNullSafe(recipe.header))
 
 
 def parse_lines(lines: DataFrame, recipe: Recipe) -> DataFrame:
     """Typed columns next to ``body``, and ``error`` for the first conversion that failed.
 
-    A failed value is NULL; an empty field is NULL without being an error.
+    A failed value is NULL; an empty field is NULL without being an error. A line whose number
+    of fields isn't the recipe's, an empty or missing one included, is an error before any other.
     """
-    fields = ", ".join(f"_raw_{n} string" for n in recipe.names)
+    fields = ", ".join(f"_raw_{n} string" for n in recipe.names) + ", _miscounted string"
     # Generated rows: a filter on the result cannot be pushed into the parser and run it again.
-    raw = lines.select("*", F.inline(F.array(F.from_csv("body", fields))))
+    raw = lines.select("*", F.inline(F.array(F.from_csv("body", fields, {"columnNameOfCorruptRecord": "_miscounted"}))))
 
     def raw_of(name):
         return F.col(f"_raw_{name}")
@@ -56,7 +59,9 @@ def parse_lines(lines: DataFrame, recipe: Recipe) -> DataFrame:
                       F.struct(F.lit(code).alias("errCode"), message.alias("errMsg")))
 
     typed = {n: raw_of(n) for n in recipe.names}
-    failures = []
+    blank = F.coalesce(F.trim("body"), F.lit("")) == ""
+    failures = [F.when(F.col("_miscounted").isNotNull() | (blank & F.lit(len(recipe.names) > 1)), F.struct(
+        F.lit(CODE_FIELDS).alias("errCode"), F.lit(MESSAGE_FIELDS % len(recipe.names)).alias("errMsg")))]
     for names, convert, label in ((recipe.integers, safe_int, "integer"), (recipe.doubles, safe_double, "double")):
         for n in names:
             typed[n] = convert(raw_of(n))

@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def hash_split(df: DataFrame, key: list[str], train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:
-    """Train and test rows by a hash of their key: the same split whenever it is asked for."""
-    bucket = F.pmod(F.xxhash64(*key), F.lit(10))
+    """Train and test rows by the MD5 of their key's text: the same split whenever and by whatever engine."""
+    digits = F.substring(F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in key])), 1, 8)
+    bucket = F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(10))
     return df.where(bucket < train_tenths), df.where(bucket >= train_tenths)
 
 
+MAX_CATEGORIES = 10_000  # an indicator each; more is an error, never a cut
+
+
 @dataclass(frozen=True)
 class TrainingFacts:
     """What the features need to know of the training rows, from one pass over them."""
@@ -27,14 +31,18 @@ class TrainingFacts:
 
 
 def training_facts(train: DataFrame, numeric: list[str], category: str | None, label: str) -> TrainingFacts:
-    """Means, population deviations and the (few) values of the category."""
+    """Means, population deviations and the values of the category, of which there may be MAX_CATEGORIES."""
     aggs = [F.count(F.lit(1)).alias("rows"), F.stddev_pop(label).alias("label_deviation")]
     aggs += [F.avg(c).alias(f"mean_{c}") for c in numeric] + [F.stddev_pop(c).alias(f"dev_{c}") for c in numeric]
+    categories = []
     if category:
-        aggs.append(F.sort_array(F.collect_set(category)).alias("categories"))
+        found = train.where(F.col(category).isNotNull()).select(category).distinct().limit(MAX_CATEGORIES + 1).collect()
+        if len(found) > MAX_CATEGORIES:
+            raise ValueError(f"{category} has more than {MAX_CATEGORIES} values")
+        categories = sorted(r[0] for r in found)
     one = train.agg(*aggs).first()
     return TrainingFacts(one["rows"], {c: one[f"mean_{c}"] for c in numeric}, {c: one[f"dev_{c}"] for c in numeric},
-                         one["label_deviation"], list(one["categories"]) if category else [])
+                         one["label_deviation"], categories)
 
 
 def feature_stages(facts: TrainingFacts, category: str | None) -> list:

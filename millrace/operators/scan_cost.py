@@ -16,9 +16,23 @@ MIN_BILLED_MB = 10
 
 
 def value_width(name: str, data_type: T.DataType) -> Column:
-    """Bytes of one value as a column expression."""
-    c = F.col(name)
-    if isinstance(data_type, T.StringType):
+    """Bytes of one value as a column expression; a nested value counts what it holds."""
+    return _width(F.col(name), data_type, name)
+
+
+def _width(c: Column, data_type: T.DataType, name: str) -> Column:
+    none = F.lit(0).cast("long")
+
+    def all_of(values, element):
+        return F.aggregate(values, none, lambda so_far, v: so_far + _width(v, element, name))
+
+    if isinstance(data_type, T.ArrayType):
+        width = all_of(c, data_type.elementType)
+    elif isinstance(data_type, T.MapType):
+        width = all_of(F.map_keys(c), data_type.keyType) + all_of(F.map_values(c), data_type.valueType)
+    elif isinstance(data_type, T.StructType):
+        width = sum((_width(c[f.name], f.dataType, name) for f in data_type.fields), none)
+    elif isinstance(data_type, T.StringType):
         width = F.octet_length(c) + 2
     elif isinstance(data_type, T.BinaryType):
         width = F.octet_length(c) + 2
@@ -30,7 +44,7 @@ def value_width(name: str, data_type: T.DataType) -> Column:
         width = F.lit(8)
     else:
         raise TypeError(f"no scan width is defined for {name} of type {data_type.simpleString()}")
-    return F.when(c.isNotNull(), width.cast("long")).otherwise(F.lit(0).cast("long"))
+    return F.when(c.isNotNull(), width.cast("long")).otherwise(none)
 
 
 def _total(df: DataFrame, columns: list[str]) -> Column:

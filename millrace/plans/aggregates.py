@@ -12,14 +12,14 @@ from millrace.plans.registry import query, table
 from millrace.session import scratch_path
 
 
-@query("""SELECT o_orderpriority, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+@query("""SELECT o_orderpriority, count(*) AS n, CAST(round(sum(CAST(o_totalprice AS DECIMAL(28,6))), 2) AS DOUBLE) AS total
           FROM orders GROUP BY 1""")
 def e1_count_and_sum(spark, sf_dir):
     return A.count_and_sum(table(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice")
 
 
 @query("""SELECT c_mktsegment AS segment, CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS month,
-          count(*) AS items, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+          count(*) AS items, CAST(round(sum(CAST(l_extendedprice AS DECIMAL(28,6))), 2) AS DOUBLE) AS revenue
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
           GROUP BY 1, 2""")
 def e2_revenue_by_segment_month(spark, sf_dir):
@@ -42,7 +42,7 @@ def e2_revenue_by_segment_month(spark, sf_dir):
             .agg(F.sum("items").alias("items"), F.sum("revenue").cast("double").alias("revenue")))
 
 
-@query("""SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean_price
+@query("""SELECT l_returnflag, CAST(sum(CAST(l_extendedprice AS DECIMAL(28,6))) AS DOUBLE) / count(*) AS mean_price
           FROM lineitem GROUP BY 1""")
 def e3_average(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(
@@ -99,7 +99,7 @@ def e9_text_of_case(spark, sf_dir):
 
 @query(f"""SELECT store_id, count(DISTINCT (sale_date, region)) AS store_days,
            count(DISTINCT (sale_date, region, basket_id)) AS baskets,
-           CAST(sum(CAST(basket_value AS DECIMAL(18,2))) AS DOUBLE) AS sales FROM {BASKETS_SQL} GROUP BY store_id""")
+           CAST(round(sum(CAST(basket_value AS DECIMAL(28,6))), 2) AS DOUBLE) AS sales FROM {BASKETS_SQL} GROUP BY store_id""")
 def e10_two_level_aggregate(spark, sf_dir):
     daily = baskets(spark, sf_dir).groupBy("sale_date", "store_id", "region").agg(
         F.count_distinct("basket_id").alias("baskets"),
@@ -130,7 +130,7 @@ def e13_duplicate_keys(spark, sf_dir):
 
 
 @query(f"""SELECT region, count(*) FILTER (WHERE basket_value IS NULL) AS nulls,
-           CAST(sum(CAST(basket_value AS DECIMAL(18,2))) AS DOUBLE) / count(basket_value) AS mean_value
+           CAST(sum(CAST(basket_value AS DECIMAL(28,6))) AS DOUBLE) / count(basket_value) AS mean_value
            FROM (SELECT region, CASE WHEN region = 'North' THEN NULL ELSE basket_value END AS basket_value
                  FROM {BASKETS_SQL}) GROUP BY 1""")
 def e14_null_profile(spark, sf_dir):
@@ -216,7 +216,7 @@ def g3_plain_limit(spark, sf_dir):
     return table(spark, sf_dir, "orders").orderBy("o_orderkey").limit(10)
 
 
-@query("""SELECT o_orderpriority, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+@query("""SELECT o_orderpriority, count(*) AS n, CAST(round(sum(CAST(o_totalprice AS DECIMAL(28,6))), 2) AS DOUBLE) AS total
           FROM orders GROUP BY 1""")
 def g4_sorted_files(spark, sf_dir):
     """Rows stored in key order inside their files, read back by key."""

@@ -48,7 +48,7 @@ def l2_denied_columns_dropped(spark, sf_dir):
     return governed_read(table(spark, sf_dir, "customer"), "analyst", tags=PERSONAL, denied="drop")
 
 
-@query("""SELECT c_nationkey, count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM customer
+@query("""SELECT c_nationkey, count(*) AS n, CAST(round(sum(CAST(c_acctbal AS DECIMAL(28,6))), 2) AS DOUBLE) AS balance FROM customer
           GROUP BY 1 ORDER BY balance DESC, c_nationkey LIMIT 5""")
 def l3_curated_projection(spark, sf_dir):
     """An aggregate without personal data, next to the raw table."""

@@ -11,7 +11,7 @@ from millrace.plans.derived import (ACCOUNTS_SQL, BASKETS_SQL, JOBS_SQL, TRIPS_S
 from millrace.plans.registry import query, table
 
 BILLING_SQL = f"""SELECT tier, CAST(CAST(date_trunc('month', pickup_date) AS DATE) AS VARCHAR) AS month,
-                  count(*) AS trips, CAST(sum(CAST(fare AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+                  count(*) AS trips, CAST(round(sum(CAST(fare AS DECIMAL(28,6))), 2) AS DOUBLE) AS revenue
                   FROM {TRIPS_SQL} JOIN {ACCOUNTS_SQL} USING (account_id) GROUP BY 1, 2"""
 
 
@@ -59,7 +59,7 @@ def d5_join_using_in_sql(spark, sf_dir):
     fact, dim = _sides(spark, sf_dir)
     return spark.sql("""
         SELECT tier, CAST(trunc(pickup_date, 'MONTH') AS STRING) AS month, count(*) AS trips,
-               CAST(sum(CAST(fare AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+               CAST(round(sum(CAST(fare AS DECIMAL(28,6))), 2) AS DOUBLE) AS revenue
         FROM {fact} JOIN {dim} USING (account_id) GROUP BY ALL""", fact=fact, dim=dim)
 
 

@@ -122,7 +122,7 @@ POS_TYPED_SQL = f"""SELECT txn_id, store_id, try_strptime(txn_ts, '%Y-%m-%d %H:%
 def c13_c14_wrangling_recipe(spark, sf_dir):
     """CSV files with a header each, read as text: header dropped, fields split, named and typed."""
     path = scratch_path(spark, "c13")
-    pos_fields(spark, sf_dir).drop("event_id").write.option("header", True).csv(path)
+    pos_fields(spark, sf_dir).drop("event_id", "surplus").write.option("header", True).csv(path)
     lines = spark.read.text(path).withColumnRenamed("value", "body")
     return parse_lines(without_header(lines, POS_RECIPE), POS_RECIPE).select(*POS_RECIPE.names)
 

@@ -57,20 +57,45 @@ def o3_ridge_one_feature(spark, sf_dir):
                                  "slope double, intercept double")
 
 
-def _scored(spark, sf_dir, fit):
-    train, test = model.hash_split(_items(spark, sf_dir), KEY)
-    return model.mean_absolute_error(fit(train, NUMERIC, CATEGORY, LABEL).transform(test), LABEL)
+SPLIT_SQL = """(SELECT l_quantity AS x, l_extendedprice AS y,
+    ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), 1, 8))::BIGINT % 10 < 8 AS train FROM lineitem)"""
+
+
+def _error(train, test, fit, numeric, category):
+    return model.mean_absolute_error(fit(train, numeric, category, LABEL).transform(test), LABEL).first()
 
 
-@query()
+@query(f"""WITH s AS (SELECT avg(x) AS m, stddev_pop(x) AS sd, avg(y) AS my, count(*) AS n FROM {SPLIT_SQL} WHERE train),
+                b AS (SELECT sum((x - m) / sd * (y - my)) / (max(n) + 1) AS slope FROM {SPLIT_SQL}, s WHERE train)
+           SELECT count(*) AS n, round(avg(abs(y - my - slope * (x - m) / sd)), 3) AS mae, TRUE AS all_columns_near
+           FROM {SPLIT_SQL}, s, b WHERE NOT train""")
 def o3_o5_ridge_error(spark, sf_dir):
-    return _scored(spark, sf_dir, model.fit_ridge)
+    """Error on the test rows of the fit on one number, and whether that of all columns is within five hundredths of it."""
+    train, test = model.hash_split(_items(spark, sf_dir), KEY)
+    one = _error(train, test, model.fit_ridge, ["l_quantity"], None)
+    every = _error(train, test, model.fit_ridge, NUMERIC, CATEGORY)
+    return spark.createDataFrame([(one["n"], round(one["mae"], 3), every["mae"] <= 1.05 * one["mae"])],
+                                 "n long, mae double, all_columns_near boolean")
 
 
-@query()
+@query(f"""SELECT count(*) FILTER (NOT train) AS n, round(avg(abs(y - my)) FILTER (NOT train), 3) AS error_of_mean,
+                  TRUE AS trees_fit_better, TRUE AS trees_near_or_better
+           FROM {SPLIT_SQL}, (SELECT avg(y) AS my FROM {SPLIT_SQL} WHERE train)""")
 def o4_o5_boosted_error(spark, sf_dir):
+    """Test error of the train rows' mean, and how the trees compare with it.
+
+    Boosting squared errors must leave a smaller squared error on the train rows than their mean does. On the
+    test rows it need not: these prices hardly depend on the columns, so there it must be near or better.
+    """
     shared_root(spark)  # tree checkpoints
-    return _scored(spark, sf_dir, model.fit_boosted)
+    train, test = model.hash_split(_items(spark, sf_dir), KEY)
+    fitted = model.fit_boosted(train, NUMERIC, CATEGORY, LABEL)
+    miss = F.col(LABEL) - F.col("prediction")
+    mean, spread, left = fitted.transform(train).agg(F.avg(LABEL), F.var_pop(LABEL), F.avg(miss * miss)).first()
+    flat = test.agg(F.avg(F.abs(F.col(LABEL) - F.lit(mean)))).first()[0]
+    trees = model.mean_absolute_error(fitted.transform(test), LABEL).first()
+    return spark.createDataFrame([(trees["n"], round(flat, 3), left < spread, trees["mae"] <= 1.05 * flat)],
+                                 "n long, error_of_mean double, trees_fit_better boolean, trees_near_or_better boolean")
 
 
 # The fit on one number, in SQL, and what it predicts for every row.

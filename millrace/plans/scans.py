@@ -27,7 +27,7 @@ def a1_csv_declared_schema(spark, sf_dir):
     return files.read_csv(spark, _orders_csv(spark, sf_dir, "a1"), ORDER_SCHEMA)
 
 
-@query("""SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
+@query("""SELECT o_orderstatus, count(*) AS n, CAST(round(sum(CAST(o_totalprice AS DECIMAL(28,6))), 2) AS DOUBLE) AS total,
           CAST(max(year(o_orderdate)) AS BIGINT) AS last_year FROM orders GROUP BY 1""")
 def a2_csv_inferred_schema(spark, sf_dir):
     df = files.read_csv(spark, _orders_csv(spark, sf_dir, "a2"))
@@ -36,14 +36,18 @@ def a2_csv_inferred_schema(spark, sf_dir):
         F.max(F.year("o_orderdate")).cast("long").alias("last_year"))
 
 
-@query("""SELECT o_orderkey, o_custkey, o_orderstatus, CAST(NULL AS DOUBLE) AS o_totalprice,
-          CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS order_total FROM orders""")
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 2 THEN o_custkey END AS o_custkey, o_orderstatus,
+          CASE WHEN o_orderkey % 3 = 1 THEN o_totalprice END AS o_totalprice,
+          CASE WHEN o_orderkey % 3 = 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS order_total FROM orders""")
 def a3_csv_by_column_name(spark, sf_dir):
+    """One folder whose files have three layouts: a renamed column, another order, a column less."""
     path = scratch_path(spark, "a3")
-    (table(spark, sf_dir, "orders")
-     .select("o_custkey", "o_orderkey", "o_orderstatus",
-             money("o_totalprice").cast("string").alias("order_total"))
-     .write.option("header", True).csv(path))
+    orders = table(spark, sf_dir, "orders")
+    total = money("o_totalprice").cast("string").alias("order_total")
+    for rest, columns in enumerate((["o_custkey", "o_orderkey", "o_orderstatus", total],
+                                    ["o_totalprice", "o_orderstatus", "o_orderkey", "o_custkey"], ["o_orderstatus", "o_orderkey"])):
+        (orders.where(F.col("o_orderkey") % 3 == rest).select(*columns)
+         .write.mode("append").option("header", True).csv(path))
     target = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
                            T.StructField("o_orderstatus", T.StringType()),
                            T.StructField("o_totalprice", T.DoubleType())])
@@ -56,7 +60,7 @@ def a4_parquet_scan(spark, sf_dir):
 
 
 @query("""SELECT l_returnflag, l_linestatus, count(*) AS n,
-          CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem GROUP BY 1, 2""")
+          CAST(round(sum(CAST(l_extendedprice AS DECIMAL(28,6))), 2) AS DOUBLE) AS total FROM lineitem GROUP BY 1, 2""")
 def a5_parquet_glob(spark, sf_dir):
     path = scratch_path(spark, "a5")
     (table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_extendedprice")
@@ -83,7 +87,7 @@ def a6_partition_folders(spark, sf_dir):
 
 
 @query("""SELECT CAST(year(o_orderdate) AS BIGINT) AS suffix, count(*) AS n,
-          CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+          CAST(round(sum(CAST(o_totalprice AS DECIMAL(28,6))), 2) AS DOUBLE) AS total
           FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1""")
 def a7_shards_by_suffix(spark, sf_dir):
     root = scratch_path(spark, "a7")

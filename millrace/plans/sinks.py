@@ -17,7 +17,7 @@ from millrace.sources.files import read_csv, read_partitioned
 
 DAY = dt.date(2024, 1, 12)
 T0, T1, T2, T3 = (dt.datetime(2024, 2, d, 12, 0) for d in (1, 2, 3, 4))
-STATUS_SQL = """SELECT o_orderstatus, {n} AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) * {f} AS DOUBLE) AS total
+STATUS_SQL = """SELECT o_orderstatus, {n} AS n, CAST(round(sum(CAST(o_totalprice AS DECIMAL(28,6))), 2) * {f} AS DOUBLE) AS total
                 FROM orders {w} GROUP BY 1"""
 
 
@@ -81,7 +81,7 @@ def b7_ordered_export(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("""SELECT o_orderpriority, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+@query("""SELECT o_orderpriority, count(*) AS n, CAST(round(sum(CAST(o_totalprice AS DECIMAL(28,6))), 2) AS DOUBLE) AS total
           FROM orders GROUP BY 1""")
 def b8_rollup_csv(spark, sf_dir):
     path = scratch_path(spark, "b8")

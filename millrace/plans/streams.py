@@ -9,62 +9,65 @@ from millrace.session import scratch_path
 from millrace.streaming import messages as M, panes as P, runs, windows as W
 
 # Deliveries come in portions of ten days. Some messages are three or twelve days late,
-# some come twice, some cannot be parsed.
-FLUSH = "2024-06-01 00:00:00"
-PORTIONS = 5
+# some come twice, some cannot be parsed, some have no usable time, some have no sale id.
 LATENESS_DAYS = 4
 FEED_SQL = """(
-  SELECT event_id, ts, event_type AS store_id,
-         'S-' || CAST(event_id AS VARCHAR) AS sale_id, copy,
+  SELECT event_id, CASE WHEN event_id % 223 <> 5 AND event_id % 229 <> 7 THEN e.ts END AS ts, event_type AS store_id,
+         CASE WHEN event_id % 227 <> 9 THEN 'S-' || CAST(event_id AS VARCHAR) END AS sale_id, copy,
          CASE WHEN event_id % 211 = 0 THEN '"$3.49"' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS total,
-         CASE WHEN event_id % 211 <> 0 THEN value END AS amount,
-         CAST(floor((epoch_us(ts) // 1000 + CASE event_id % 97 WHEN 0 THEN 259200000 WHEN 1 THEN 1036800000 ELSE 0 END
+         CASE WHEN event_id % 211 <> 0 AND event_id % 223 <> 5 AND event_id % 229 <> 7 THEN value END AS amount,
+         CAST(floor((epoch_us(e.ts) // 1000 + CASE event_id % 97 WHEN 0 THEN 259200000 WHEN 1 THEN 1036800000 ELSE 0 END
               - 1704067200000) / 864000000) AS BIGINT) AS portion
-  FROM events, (VALUES (0), (1)) AS c(copy) WHERE copy = 0 OR event_id % 50 = 0)"""
+  FROM events e, (VALUES (0), (1)) AS c(copy) WHERE copy = 0 OR event_id % 50 = 0)"""
 HOUR = "date_trunc('hour', ts)"
 SHOWN = "strftime(w, '%Y-%m-%d %H:%M:%S')"
 SUM = "CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE)"
 BODY_SQL = """'{"store_id": "' || store_id || '", "lane": ' || CAST(event_id % 9 AS VARCHAR) || ', "total": ' || total || '}'"""
 
 
-def feed(spark, sf_dir):
-    """Messages with the portion in which they are delivered."""
+def feed(spark, sf_dir, copy_days=0):
+    """Messages with the portion in which they are delivered; repeats come ``copy_days`` later."""
     event = F.col("event_id")
     copies = F.when(event % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     late = F.when(event % 97 == 0, 259200000).when(event % 97 == 1, 1036800000).otherwise(0)
-    at = F.unix_millis(F.col("ts").cast("timestamp")) + late
+    at = F.unix_millis(F.col("ts").cast("timestamp")) + late + F.col("copy") * (copy_days * 86400000)
+    time = F.when(event % 223 == 5, "soon").when(event % 229 != 7, F.col("ts").cast("string"))
     total = F.when(event % 211 == 0, '"$3.49"').otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
     return (table(spark, sf_dir, "events").withColumn("copy", F.explode(copies)).select(
         F.concat(F.lit('{"store_id": "'), F.col("event_type"), F.lit('", "lane": '), (event % 9).cast("string"),
                  F.lit(', "total": '), total, F.lit("}")).alias("body"),
-        F.create_map(F.lit("event_ts"), F.col("ts").cast("string"),
-                     F.lit("sale_id"), F.concat(F.lit("S-"), event.cast("string"))).alias("attributes"),
+        F.create_map(F.lit("event_ts"), time,
+                     F.lit("sale_id"), F.when(event % 227 != 9, F.concat(F.lit("S-"), event.cast("string")))).alias("attributes"),
         F.concat(F.lit("M-"), event.cast("string"), F.lit("-"), F.col("copy").cast("string")).alias("message_id"),
         F.floor((at - 1704067200000) / 864000000).alias("portion")))
 
 
-def replay(spark, sf_dir, label, build, portions=None, save=None, flush=True, watch=None):
+def replay(spark, sf_dir, label, build, by_portion=False, save=None, flush=True, watch=None, copy_days=0):
     """Deliver the feed portion by portion, running the stream over each; the stored rows.
 
-    Without ``portions`` everything is delivered at once. ``build`` turns usable sales
-    into the streaming result.
+    Without ``by_portion`` everything is delivered at once. ``build`` turns usable sales
+    into the streaming result. The flush comes sixty days after the newest sale.
     """
     inbox, out, checkpoint = (scratch_path(spark, f"{label}-{n}") for n in ("in", "out", "state"))
-    everything = feed(spark, sf_dir)
-    deliveries = [everything.drop("portion")] if portions is None else [
-        everything.where(F.col("portion") == p).drop("portion") for p in range(portions)]
-    if flush:
-        if portions is None:
-            deliveries = [deliveries[0].unionByName(runs.flush_record(spark, FLUSH))]
-        else:
-            deliveries.append(runs.flush_record(spark, FLUSH))
-    for delivery in deliveries:
-        runs.deliver(delivery, inbox)
-        parsed = M.parse_sales(M.with_event_time(M.read_feed(spark, inbox)))
-        done = runs.start(build(parsed), (save or runs.save_batch)(out), checkpoint)
-        done.awaitTermination()
-        if watch is not None:
-            watch.extend(runs.progress_rows(done))
+    everything = feed(spark, sf_dir, copy_days)
+    newest = F.col("attributes")["event_ts"].try_cast("timestamp")
+    first, last, end = everything.agg(
+        F.coalesce(F.min("portion"), F.lit(0)), F.coalesce(F.max("portion"), F.lit(-1)),
+        F.coalesce((F.max(newest) + F.make_dt_interval(days=F.lit(60))).cast("string"), F.lit("2024-06-01"))).first()
+    deliveries = ([everything.where(F.col("portion") == p).drop("portion") for p in range(first, last + 1)]
+                  if by_portion else [everything.drop("portion")])
+    if flush and by_portion:
+        deliveries.append(runs.flush_record(spark, end))
+    elif flush:
+        deliveries = [deliveries[0].unionByName(runs.flush_record(spark, end))]
+    with runs.progress(spark) as progress:
+        for delivery in deliveries:
+            runs.deliver(delivery, inbox)
+            parsed = M.parse_sales(M.with_event_time(M.read_feed(spark, inbox)))
+            done = runs.start(build(parsed), (save or runs.save_batch)(out), checkpoint)
+            done.awaitTermination()
+            if watch is not None:
+                watch.extend(progress.rows(done))
     return out
 
 
@@ -107,7 +110,7 @@ WATERMARK_SQL = f"""(SELECT f.*, {HOUR} AS w, {HOUR} + INTERVAL 1 HOUR AS w_end,
 @query(f"""SELECT {SHOWN} AS window_start, store_id, count(*) AS sales, {SUM} AS revenue, '1' AS pane
            FROM {WATERMARK_SQL} WHERE seen IS NULL OR w_end > date_trunc('millisecond', seen) GROUP BY w, store_id""")
 def j2_late_records_dropped(spark, sf_dir):
-    return _shown(runs.read_batches(spark, replay(spark, sf_dir, "j2", _hourly, portions=PORTIONS)))
+    return _shown(runs.read_batches(spark, replay(spark, sf_dir, "j2", _hourly, by_portion=True)))
 
 
 PANES_SQL = f"""WITH k AS (SELECT *, seen IS NULL OR w_end > date_trunc('millisecond', seen) AS in_time FROM {WATERMARK_SQL}
@@ -126,7 +129,7 @@ def _panes(spark, sf_dir, label):
     def build(parsed):
         return P.late_panes(M.sales(parsed), 3600, LATENESS_DAYS * 86400)
 
-    return runs.read_batches(spark, replay(spark, sf_dir, label, build, portions=PORTIONS))
+    return runs.read_batches(spark, replay(spark, sf_dir, label, build, by_portion=True))
 
 
 @query(f"""{PANES_SQL} SELECT {SHOWN} AS window_start, store_id, sales, CAST(revenue AS DOUBLE) AS revenue, pane FROM p""")
@@ -141,9 +144,13 @@ def j5_last_pane(spark, sf_dir):
     return _shown(P.last_pane(_panes(spark, sf_dir, "j5")))
 
 
-@query(HOURLY_SQL.format(where="AND copy = 0"))
+@query(HOURLY_SQL.format(where="AND (copy = 0 OR sale_id IS NULL)"))
 def j6_once_per_sale(spark, sf_dir):
-    return _shown(runs.read_batches(spark, replay(spark, sf_dir, "j6", _hourly_once)))
+    """Repeats come twelve days later, in another batch; the state remembers ids for thirty days."""
+    def build(parsed):
+        return W.window_totals(W.once_per_sale(M.sales(parsed), "30 days"), "1 hour", delay=None)
+
+    return _shown(runs.read_batches(spark, replay(spark, sf_dir, "j6", build, by_portion=True, copy_days=12)))
 
 
 def _both_sinks(out):
@@ -151,7 +158,8 @@ def _both_sinks(out):
 
 
 @query(f"""SELECT {BODY_SQL} AS body, 'M-' || CAST(event_id AS VARCHAR) || '-' || CAST(copy AS VARCHAR) AS message_id,
-           'ValueError: could not convert string to float: ''$3.49''' AS error, sale_id FROM {FEED_SQL} WHERE amount IS NULL""")
+           CASE WHEN event_id % 211 = 0 THEN 'ValueError: could not convert string to float: ''$3.49'''
+                ELSE 'ValueError: the event time is missing or no time' END AS error, sale_id FROM {FEED_SQL} WHERE amount IS NULL""")
 def j7_b11_dead_letters(spark, sf_dir):
     """What cannot be parsed is kept as it came, with the error among its attributes."""
     out = replay(spark, sf_dir, "j7", lambda parsed: parsed, flush=False, save=_both_sinks)
@@ -162,7 +170,7 @@ def j7_b11_dead_letters(spark, sf_dir):
 @query(f"""SELECT 'baseline' AS job, count(*) AS sales, {SUM} AS revenue, count(DISTINCT {HOUR}) AS windows
              FROM {FEED_SQL} WHERE amount IS NOT NULL AND ts >= TIMESTAMP '2024-01-10'
            UNION ALL SELECT 'dedup', count(*), {SUM}, count(DISTINCT {HOUR})
-             FROM {FEED_SQL} WHERE amount IS NOT NULL AND ts >= TIMESTAMP '2024-01-10' AND copy = 0""")
+             FROM {FEED_SQL} WHERE amount IS NOT NULL AND ts >= TIMESTAMP '2024-01-10' AND (copy = 0 OR sale_id IS NULL)""")
 def j8_totals_by_job(spark, sf_dir):
     """The tables of two streams over the same feed, added up from one moment on."""
     from millrace.operators.sets import labelled_union
@@ -178,15 +186,22 @@ def j9_windows_around_a_moment(spark, sf_dir):
     return _shown(W.around(stored, "view", "2024-01-15 12:00:00", minutes=60))
 
 
-@query(f"""SELECT count(*) AS input_rows,
-           strftime(max(CASE WHEN amount IS NOT NULL THEN date_trunc('millisecond', ts) END), '%Y-%m-%d %H:%M:%S.%g') AS newest
-           FROM {FEED_SQL} WHERE portion < 3 GROUP BY portion""")
+@query(f"""WITH b AS (SELECT portion, count(*) AS n, max(ts) FILTER (amount IS NOT NULL) AS newest FROM {FEED_SQL} GROUP BY 1),
+                l AS (SELECT portion, count(*) AS late FROM {WATERMARK_SQL} WHERE w_end <= date_trunc('millisecond', seen) GROUP BY 1)
+           SELECT n AS input_rows, strftime(date_trunc('millisecond', newest), '%Y-%m-%d %H:%M:%S.%g') AS newest,
+                  (epoch_us(newest) // 1000 - coalesce(epoch_us(max(newest) OVER (
+                     ORDER BY portion ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) // 1000, 0)) / 1000 AS behind_seconds,
+                  late IS NOT NULL AS some_dropped FROM b LEFT JOIN l USING (portion)""")
 def j10_lag_report(spark, sf_dir):
-    """Progress of the batches that read something, over three portions of the baseline."""
+    """Progress of all batches that read something; before the first, the watermark is at zero.
+
+    How many rows are dropped depends on how far they were added up before, so only whether any were is shown.
+    """
     seen = []
-    replay(spark, sf_dir, "j10", _hourly, portions=3, flush=False, watch=seen)
+    replay(spark, sf_dir, "j10", _hourly, by_portion=True, flush=False, watch=seen)
     return runs.progress_report(spark, seen).where("input_rows > 0").select(
-        "input_rows", F.date_format("max_event_time", "yyyy-MM-dd HH:mm:ss.SSS").alias("newest"))
+        "input_rows", F.date_format("max_event_time", "yyyy-MM-dd HH:mm:ss.SSS").alias("newest"), "behind_seconds",
+        (F.col("dropped_rows") > 0).alias("some_dropped"))
 
 
 @query(f"""WITH h AS (SELECT w, store_id FROM (SELECT *, {HOUR} AS w FROM {FEED_SQL}) WHERE amount IS NOT NULL GROUP BY 1, 2),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -14,18 +16,29 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_csv_by_name(spark: SparkSession, paths: list[str], target: T.StructType) -> DataFrame:
-    """Match CSV columns to the target by header name.
+    """Match CSV columns to the target by header name, whatever the order of columns in each file.
 
-    A target column a file lacks becomes NULL, a column the target lacks is added as text.
+    A target column a file lacks becomes NULL, a column the target lacks is added as text. A pass
+    over the raw lines finds the header of every file; each distinct header is one scan of its files.
+    Without any line the result is an empty target.
     """
-    def one(path):
-        found = spark.read.option("header", True).csv(path)
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
+        F.monotonically_increasing_id().alias("at")).where((F.col("block") == 0) & (F.trim("value") != ""))
+    layouts = (lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+               .groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect())
+
+    def one(files):
+        # names as a reader takes them: without escapes, and no character means a pattern
+        literal = [re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(f)) for f in files]
+        found = spark.read.option("header", True).csv(literal)
         typed = [(F.col(f.name).cast(f.dataType) if f.name in found.columns
                   else F.lit(None).cast(f.dataType)).alias(f.name) for f in target.fields]
         extra = [F.col(c) for c in found.columns if c not in target.fieldNames()]
         return found.select(*typed, *extra)
 
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(p) for p in paths])
+    frames = [one(layout["files"]) for layout in layouts] or [spark.createDataFrame([], target)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_partitioned(spark: SparkSession, root: str) -> DataFrame:

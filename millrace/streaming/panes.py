@@ -16,31 +16,31 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from millrace.functions.scalars import money
+from millrace.functions.scalars import exact
 
 # The processor travels with the query: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The codes of a pane that fired on time and of one that fired late.
 ON_TIME, LATE = "1", "2"
-PANE_SCHEMA = "start_ms long, store_id string, sales long, cents long, pane string, pane_index long"
+PANE_SCHEMA = "start_ms long, store_id string, sales long, millionths long, pane string, pane_index long"
 
 
 class LatePanes(StatefulProcessor):
-    """State of one store and window: records and cents so far, panes fired, anything unfired."""
+    """State of one store and window: records and millionths so far, panes fired, anything unfired."""
 
     def __init__(self, length_ms: int, lateness_ms: int):
         self.length_ms, self.delay_ms = length_ms, length_ms + lateness_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("totals", "sales long, cents long, panes long, unfired boolean")
+        self.state = handle.getValueState("totals", "sales long, millionths long, panes long, unfired boolean")
 
-    def _panes(self, key, sales, cents, pane: str, index) -> pd.DataFrame:
+    def _panes(self, key, sales, millionths, pane: str, index) -> pd.DataFrame:
         """One pane, or one for each element of the columns."""
         store, start_ms = key
         return pd.DataFrame({"start_ms": start_ms, "store_id": store, "sales": np.atleast_1d(sales),
-                             "cents": np.atleast_1d(cents), "pane": pane, "pane_index": np.atleast_1d(index)})
+                             "millionths": np.atleast_1d(millionths), "pane": pane, "pane_index": np.atleast_1d(index)})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         start_ms = key[1]
@@ -49,34 +49,34 @@ class LatePanes(StatefulProcessor):
             return
         on_time_until = start_ms + self.length_ms - self.delay_ms
         known = self.state.get()
-        sales, cents, panes, unfired = known or (0, 0, 0, False)
+        sales, millionths, panes, unfired = known or (0, 0, 0, False)
         if known is None:
             if watermark < on_time_until:
                 self.handle.registerTimer(on_time_until)
             self.handle.registerTimer(start_ms)
         if watermark < on_time_until:
             for part in rows:
-                sales, cents = sales + len(part), cents + int(part["cents"].sum())
-            self.state.update((sales, cents, panes, True))
+                sales, millionths = sales + len(part), millionths + int(part["millionths"].sum())
+            self.state.update((sales, millionths, panes, True))
             return
         if unfired:  # rows are handled before the timers of the same batch
-            yield self._panes(key, sales, cents, ON_TIME, panes)
+            yield self._panes(key, sales, millionths, ON_TIME, panes)
             panes += 1
         for part in rows:
             nth = np.arange(len(part))
-            running = cents + part["cents"].to_numpy().cumsum()
+            running = millionths + part["millionths"].to_numpy().cumsum()
             yield self._panes(key, sales + 1 + nth, running, LATE, panes + nth)
-            sales, cents, panes = sales + len(part), int(running[-1]), panes + len(part)
-        self.state.update((sales, cents, panes, False))
+            sales, millionths, panes = sales + len(part), int(running[-1]), panes + len(part)
+        self.state.update((sales, millionths, panes, False))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         known = self.state.get()
         if known is None:
             return
-        sales, cents, panes, unfired = known
+        sales, millionths, panes, unfired = known
         if unfired:
-            yield self._panes(key, sales, cents, ON_TIME, panes)
-            self.state.update((sales, cents, panes + 1, False))
+            yield self._panes(key, sales, millionths, ON_TIME, panes)
+            self.state.update((sales, millionths, panes + 1, False))
         if expiredTimerInfo.getExpiryTimeInMs() >= key[1]:
             self.state.clear()
 
@@ -94,11 +94,11 @@ def late_panes(sales: DataFrame, length_seconds: int = 60, lateness_seconds: int
     timed = sales.withWatermark("ts", f"{length_seconds + lateness_seconds} seconds")
     start = (F.floor(F.unix_millis("ts") / length_ms) * length_ms).cast("long")
     keyed = timed.select("ts", "store_id", start.alias("start_ms"),
-                         (money("total") * 100).cast("long").alias("cents"))
+                         (exact("total") * 1000000).cast("long").alias("millionths"))
     panes = keyed.groupBy("store_id", "start_ms").transformWithStateInPandas(
         LatePanes(length_ms, lateness_seconds * 1000), PANE_SCHEMA, "Append", "EventTime")
     return panes.select(F.timestamp_millis("start_ms").alias("window_start"), "store_id", "sales",
-                        (F.col("cents") / 100).alias("revenue"), "pane", "pane_index")
+                        F.round(F.col("millionths") / 1000000, 2).alias("revenue"), "pane", "pane_index")
 
 
 def last_pane(panes: DataFrame) -> DataFrame:

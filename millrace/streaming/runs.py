@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import threading
+from collections import defaultdict
 from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
@@ -81,20 +85,55 @@ def start_continuous(stream: DataFrame, save: Callable[[DataFrame, int], None],
                 .option("checkpointLocation", checkpoint).trigger(processingTime=every).start())
 
 
-def progress_rows(query: StreamingQuery) -> list[tuple]:
-    """Lag of each batch: how far the watermark trails the newest event, and rows dropped as late."""
+def progress_row(p: dict) -> tuple:
+    """Lag of a batch: how far the watermark trails the newest event, and rows dropped as late."""
     def moment(text):
         return dt.datetime.fromisoformat(text.replace("Z", "+00:00")) if text else None
 
-    rows = []
-    for p in query.recentProgress:
-        times = p.get("eventTime") or {}
-        watermark, newest = moment(times.get("watermark")), moment(times.get("max"))
-        behind = (newest - watermark).total_seconds() if watermark and newest else None
-        state = p.get("stateOperators") or []
-        rows.append((p["batchId"], p["numInputRows"], watermark, newest, behind,
-                     sum(s["numRowsDroppedByWatermark"] for s in state), sum(s["numRowsTotal"] for s in state)))
-    return rows
+    times = p.get("eventTime") or {}
+    watermark, newest = moment(times.get("watermark")), moment(times.get("max"))
+    behind = (newest - watermark).total_seconds() if watermark and newest else None
+    state = p.get("stateOperators") or []
+    return (p["batchId"], p["numInputRows"], watermark, newest, behind,
+            sum(s["numRowsDroppedByWatermark"] for s in state), sum(s["numRowsTotal"] for s in state))
+
+
+class Progress(StreamingQueryListener):
+    """One small row for every batch of the streams started while it listens, however many there are.
+
+    A query object itself remembers its last hundred batches only.
+    """
+
+    def __init__(self):
+        self._rows, self._ended = defaultdict(list), defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._rows[str(event.progress.runId)].append(progress_row(json.loads(event.progress.json)))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def rows(self, query: StreamingQuery, timeout: float = 60) -> list[tuple]:
+        """All batches of a query that has ended; events come in order and the end comes last."""
+        if not self._ended[str(query.runId)].wait(timeout):
+            raise TimeoutError("the end of the stream was not reported")
+        return self._rows[str(query.runId)]
+
+
+@contextmanager
+def progress(spark: SparkSession):
+    listener = Progress()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)
 
 
 def progress_report(spark: SparkSession, rows: list[tuple]) -> DataFrame:

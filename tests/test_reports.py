@@ -141,6 +141,13 @@ def test_boosted_trees_beat_the_mean(spark):
     assert error["mae"] < flat
 
 
+def test_too_many_categories_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(model, "MAX_CATEGORIES", 2)
+    frame = spark.createDataFrame([(1.0, c, 2.0) for c in "abc"], "x double, g string, y double")
+    with pytest.raises(ValueError, match="more than 2 values"):
+        model.training_facts(frame, ["x"], "g", "y")
+
+
 def test_split_is_repeatable(spark):
     frame = _frame(spark)[0]
     first = sorted(r["x"] for r in model.hash_split(frame, ["x"])[0].collect())

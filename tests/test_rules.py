@@ -146,7 +146,22 @@ def test_a_line_is_parsed_once(spark):
 def test_empty_and_missing_lines(spark):
     frame = spark.createDataFrame([(1, ""), (2, None), (3, "only,two")], "offset long, body string")
     parsed = ingest.parse_lines(frame, POS_RECIPE)
-    assert parsed.count() == 3 and parsed.where("error IS NOT NULL").count() == 0
+    assert [tuple(r["error"]) for r in parsed.collect()] == [(1, "The record does not have 6 fields.")] * 3
+
+
+def test_field_counts(spark):
+    good = "T-1,A,2024-01-01 10:00:00,S,1,2.50"
+    bodies = [good, good + ",void", good + ",", good.rsplit(",", 1)[0], 'T-2,"A,B",2024-01-01 10:00:00,S,1,', "x"]
+    frame = spark.createDataFrame(list(enumerate(bodies)), "offset long, body string")
+    parsed = ingest.parse_lines(frame, POS_RECIPE)
+    assert {r["offset"] for r in parsed.where("error.errCode = 1").collect()} == {1, 2, 3, 5}
+    assert {r["offset"] for r in parsed.where("error IS NULL").collect()} == {0, 4}
+    assert parsed.where("offset = 4").first()["store_id"] == "A,B"
+
+
+def test_parts_of_a_cent_add_up(spark):
+    thousand = spark.range(1000).select(F.lit(0.004).alias("v"))
+    assert tuple(thousand.agg(S.money_sum("v"), S.money_mean("v")).first()) == (4.0, 0.004)
 
 
 @pytest.mark.parametrize("text", ["10d", "NaN", "1_000", "", "0x1F", "1 2"])
@@ -307,3 +322,19 @@ def test_adaptive_join_leaves_the_session_alone(spark):
         assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "false"
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+
+
+@pytest.mark.parametrize("kind,low,high", [("date", "2024-01-01", "2024-01-02"), ("string", "a", "b"),
+                                           ("long", "-9223372036854775808", "-9223372036854775807"), ("double", "-1.5", "2")])
+def test_row_of_largest_of_any_type(spark, kind, low, high):
+    from millrace.operators.aggregates import row_of_largest
+    frame = spark.createDataFrame([("g", low, 1), ("g", high, 3), ("g", high, 2), ("g", None, 0), ("h", low, 4)], "k string, v string, n int")
+    got = row_of_largest(frame.withColumn("v", F.col("v").cast(kind)), ["k"], "v", ["n"])
+    assert sorted((r["k"], r["n"]) for r in got.collect()) == [("g", 2), ("h", 4)]
+
+
+def test_widths_of_nested_values(spark):
+    from millrace.operators.scan_cost import bytes_by_column
+    frame = spark.sql("SELECT array('a', NULL, 'bcd') AS a, map('k', 1) AS m, named_struct('x', 1, 'y', array(true)) AS s, "
+                      "CAST(NULL AS array<int>) AS n")
+    assert dict(map(tuple, bytes_by_column(frame).collect())) == {"a": 8, "m": 11, "s": 9, "n": 0}

@@ -18,12 +18,13 @@ def message(at, store="A", total="1.0", sale_id=None, message_id=None):
 def run(spark, deliveries, build, save=runs.save_batch):
     inbox, out, state = (scratch_path(spark, n) for n in ("in", "out", "state"))
     watch = []
-    for delivery in deliveries:
-        runs.deliver(spark.createDataFrame(delivery, M.MESSAGE_SCHEMA), inbox)
-        stream = build(M.parse_sales(M.with_event_time(M.read_feed(spark, inbox))))
-        query = runs.start(stream, save(out), state, state_partitions=2)
-        query.awaitTermination()
-        watch.append(query)
+    with runs.progress(spark) as progress:
+        for delivery in deliveries:
+            runs.deliver(spark.createDataFrame(delivery, M.MESSAGE_SCHEMA), inbox)
+            stream = build(M.parse_sales(M.with_event_time(M.read_feed(spark, inbox))))
+            query = runs.start(stream, save(out), state, state_partitions=2)
+            query.awaitTermination()
+            watch.append(progress.rows(query))
     return out, watch
 
 
@@ -58,7 +59,7 @@ def test_late_record_is_dropped_without_lateness(spark):
     deliveries = [[message("15:00:10")], [message("15:05:00")], [message("15:00:20", "A", "4.0")], FLUSH]
     out, watch = run(spark, deliveries, lambda p: W.window_totals(M.sales(p)))
     assert shown(runs.read_batches(spark, out)) == [("15:00", "A", 1, 1.0, "1"), ("15:05", "A", 1, 1.0, "1")]
-    dropped = [sum(r[5] for r in runs.progress_rows(q)) for q in watch]
+    dropped = [sum(r[5] for r in rows) for rows in watch]
     assert sum(dropped) == 1
 
 

@@ -131,6 +131,19 @@ def test_csv_by_name_with_files_of_different_columns(spark):
     assert sorted(map(tuple, got.collect())) == [(1, "x", None), (2, None, "new")]
 
 
+def test_csv_by_name_with_several_layouts_in_one_folder(spark, tmp_path):
+    folder = tmp_path / "mixed [1] é"
+    folder.mkdir()
+    for name, text in (("a b.csv", "a,b\n1,2\n"), ("c%20d.csv", "b,a\n20,10\n"), ("e.csv", ""), ("f.csv", "\na,b\n3,4"), ("g.csv", "b\n")):
+        (folder / name).write_text(text)
+    target = spark.createDataFrame([], "a int, b int").schema
+    path = str(folder).replace("[", "\\[").replace("]", "\\]")
+    assert sorted(map(tuple, files.read_csv_by_name(spark, [path], target).collect())) == [(1, 2), (3, 4), (10, 20)]
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "e.csv").write_text("")
+    assert files.read_csv_by_name(spark, [str(tmp_path / "none")], target).collect() == []
+
+
 def test_offsets_are_bytes(spark, tmp_path):
     (tmp_path / "lines.txt").write_bytes("é,1\nab\r\nlast".encode())
     got = sorted(map(tuple, files.read_text_with_offset(spark, str(tmp_path / "lines.txt")).collect()))

@@ -121,13 +121,12 @@ def _labeller(languages: list[str], logs, allowed, spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_, may = logs.value, allowed.value
         for batch in batches:
-            for start, length in slices(batch.column(1)):
+            for start, length in slices(batch.column(1), (32 << 20) // max(8, len(languages))):
                 part = batch.slice(start, length)
                 distinct, codes, bounds = word_codes(part.column(1), lower=not spans)
                 gram, each, letters, script = word_parts(distinct.to_pylist())
-                sums = np.vstack([np.zeros((1, len(languages))), np.cumsum(table_[gram], axis=0, dtype=np.float64)])
-                ends = np.cumsum(each)
-                scores = sums[ends] - sums[ends - each]
+                owner = np.repeat(np.arange(len(each)), each)
+                scores = np.stack([np.bincount(owner, row[gram], len(each)) for row in table_], axis=1)
                 scores -= np.where(may[script] | (script < 0)[:, None], 0.0, UNLIKELY)
                 found, shares, cut = [], [], []
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -171,7 +170,7 @@ def labelled_languages(docs: DataFrame, train: str = "true", spans: bool = False
     found = summed.toPandas()  # at most a row for each language and hash
     counts[found["lang"], found["gram"]] = found["n"]
     grams, scripts = counts[:, :BUCKETS] + SMOOTHING, counts[:, BUCKETS:]
-    logs = np.log(grams / grams.sum(axis=1, keepdims=True)).T.astype(np.float32)
+    logs = np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32)
     # a language writes the scripts that hold a hundredth of its letters; a script that none writes narrows nothing
     allowed = (scripts >= 0.01 * np.maximum(scripts.sum(axis=1, keepdims=True), 1)).T
     allowed[~allowed.any(axis=1)] = True

@@ -27,10 +27,18 @@ def duplicate_keys(df: DataFrame, key: str, top: int = 5) -> DataFrame:
             .orderBy(F.desc("times"), key).limit(top))
 
 
-def ordered_distinct_text(value: str | Column, separator: str = ",") -> Column:
-    """Distinct values in order as one text; NULL when there are none."""
-    joined = F.array_join(F.array_sort(F.collect_set(value)), separator)
-    return F.when(F.count(value) > 0, joined)
+TEXT_VALUES = 100_000  # most distinct values that are joined to one text
+
+
+def ordered_distinct_text(value: str | Column, separator: str = ",", most: int = TEXT_VALUES) -> Column:
+    """Distinct values in order as one text; NULL when there are none.
+
+    The values of a group are one cell of the result; a group with more than ``most`` fails the job.
+    """
+    held = F.collect_set(value)
+    refused = F.raise_error(F.lit(f"more than {most} distinct values for one text")).cast("string")
+    return (F.when(F.size(held) > most, refused)
+            .when(F.size(held) > 0, F.array_join(F.array_sort(held), separator)))
 
 
 def row_of_largest(df: DataFrame, by: list[str], largest: str, first_by: list[str]) -> DataFrame:

@@ -52,13 +52,22 @@ def bounded_broadcast_join(fact: DataFrame, dim: DataFrame, on: str | list[str],
     return hot_salted_join(fact, dim, on)
 
 
-def salted_join(fact: DataFrame, dim: DataFrame, on: str | list[str], salts: int = 32) -> DataFrame:
-    """Inner join with every key spread over ``salts`` buckets.
+def salts_needed(fact: DataFrame, on: str | list[str]) -> int:
+    """Parts into which the most frequent key must be cut to fit an average shuffle partition; one job."""
+    parts = _partitions(fact)
+    top = hot_keys(fact, on, 1 / parts).agg(F.max("_share")).first()[0]
+    return max(1, math.ceil((top or 0) * parts))
 
+
+def salted_join(fact: DataFrame, dim: DataFrame, on: str | list[str], salts: int | None = None) -> DataFrame:
+    """Inner join with every key spread over ``salts`` buckets, by default as many as its hottest key needs.
+
+    The whole dimension is copied for each; ``hot_salted_join`` copies hot keys only.
     The salt is a hash of the whole fact row, not a random number: a task that is
     redone after a lost executor puts each row where it was before.
     """
     on = _keys(on)
+    salts = salts or salts_needed(fact, on)
     spread = _with_keys(fact, on).withColumn("_salt", F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
     copies = _with_keys(dim, on).withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
@@ -92,8 +101,9 @@ def hot_salted_join(fact: DataFrame, dim: DataFrame, on: str | list[str],
     A key is hot when its rows would fill a shuffle partition of average size (or hold one
     in a hundred rows). It is cut by its share of ``pieces``, by default twice the number of
     shuffle partitions, so every piece stays below an average partition, however large the
-    cluster. The list of hot keys has at most 1/share rows and the copies together at most
-    ``pieces`` more, so broadcasting the list is safe.
+    cluster. The list of hot keys has at most 1/share rows, so broadcasting it is safe. Where
+    the dimension has one row a key, the copies together are at most ``pieces`` and one for each
+    hot key; a key that repeats there is copied with all its rows.
     """
     on = _keys(on)
     pieces = pieces or 2 * _partitions(fact)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Characters that Spark replaces by their code in the name of a partition folder. Fixed values.
 ESCAPED = set(map(chr, range(1, 32))) | set("\x7f\"#%'*/:=?\\{[]^")
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+ROLLUP_ROWS = 1_000_000  # most rows of a rollup that is written as one file
 
 
 def partition_folder(column: str, value) -> str:
@@ -68,12 +69,16 @@ def export_ordered(df: DataFrame, path: str, order: list[str]) -> None:
      .write.mode("overwrite").parquet(path))
 
 
-def export_rollup_csv(rollup: DataFrame, path: str) -> None:
+def export_rollup_csv(rollup: DataFrame, path: str, most: int = ROLLUP_ROWS) -> None:
     """A finished rollup (a few rows) as one CSV file with a header.
 
-    The aggregation itself stays parallel; only its result is brought together.
+    The aggregation itself stays parallel; only its result is brought together. One of more than
+    ``most`` rows is no rollup and fails the job; ``export_ordered`` writes many files.
     """
-    rollup.repartition(1).write.mode("overwrite").option("header", True).csv(path)
+    one = rollup.repartition(1)  # in one partition the id is the row's number
+    refused = F.raise_error(F.lit(f"more than {most} rows for one file")).cast("boolean")
+    (one.where(F.when(F.monotonically_increasing_id() < most, True).otherwise(refused))
+     .write.mode("overwrite").option("header", True).csv(path))
 
 
 def read_day_range(spark: SparkSession, path: str, column: str, low, high) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import money_sum
 from millrace.operators import scan_cost as C
-from millrace.operators.governance import ColumnTag, RowPolicy, governed_read
+from millrace.operators.governance import AccessDenied, ColumnTag, RowPolicy, governed_read
 from millrace.operators.job_history import spend_by_label
 from millrace.operators.sets import labelled_union
 from millrace.plans.derived import BASKETS_SQL, baskets, jobs, spend_sql
@@ -48,6 +48,25 @@ def l2_denied_columns_dropped(spark, sf_dir):
     return governed_read(table(spark, sf_dir, "customer"), "analyst", tags=PERSONAL, denied="drop")
 
 
+@query("""SELECT 'analyst' AS principal, c_mktsegment, count(*) AS n, NULL::BIGINT AS balances,
+            'analyst may not read c_acctbal; select the table without them' AS refused FROM customer GROUP BY 2
+          UNION ALL SELECT 'controller', c_mktsegment, count(*), count(c_acctbal), NULL FROM customer GROUP BY 2""")
+def l2_denied_columns_refused(spark, sf_dir):
+    """A read of a denied column is refused with its name; the table without it can be read."""
+    rows, seen = table(spark, sf_dir, "customer"), {}
+    for principal in ("analyst", "controller"):
+        refused = None
+        try:
+            read = governed_read(rows, principal, tags=PERSONAL, columns=["c_mktsegment", "c_acctbal"])
+        except AccessDenied as denied:
+            refused = str(denied)
+            read = governed_read(rows, principal, tags=PERSONAL, columns=["c_mktsegment"])
+        balances = F.count("c_acctbal") if refused is None else F.lit(None).cast("long")
+        seen[principal] = read.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), balances.alias("balances")).withColumn(
+            "refused", F.lit(refused).cast("string"))
+    return labelled_union(seen, "principal")
+
+
 @query("""SELECT c_nationkey, count(*) AS n, CAST(round(sum(CAST(c_acctbal AS DECIMAL(28,6))), 2) AS DOUBLE) AS balance FROM customer
           GROUP BY 1 ORDER BY balance DESC, c_nationkey LIMIT 5""")
 def l3_curated_projection(spark, sf_dir):

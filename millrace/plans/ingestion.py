@@ -14,6 +14,7 @@ from millrace.plans.derived import BASKETS_SQL, POS_SQL, RUNS_SQL, baskets, load
 from millrace.plans.projections import POS_TYPED_SQL
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
+from millrace.sources.files import read_text_with_offset
 
 AS_OF = dt.datetime(2024, 1, 31, 11, 0)
 ZONE = "America/New_York"
@@ -45,6 +46,22 @@ def k2_quarantine(spark, sf_dir):
     return ingest.quarantined(spark, root, POS_RECIPE)
 
 
+@query(f"""SELECT {CODE} AS "errCode", store_id, count(*) AS n, count(*) AS places, TRUE AS own_file FROM {POS_SQL} WHERE {BAD} GROUP BY 1, 2""")
+def k2_quarantine_from_files(spark, sf_dir):
+    """From files of lines to a quarantine that still knows each record's file and byte."""
+    inbox, root = scratch_path(spark, "k2-inbox"), scratch_path(spark, "k2-files")
+    records = pos_lines(spark, sf_dir).select(F.split("body", ",")[1].alias("store"), F.col("body").alias("value"), "line_id")
+    headers = records.select("store").distinct().select("store", F.lit(POS_RECIPE.header).alias("value"), F.lit(-1).cast("long").alias("line_id"))
+    (records.unionByName(headers).repartitionByRange("store", "line_id").sortWithinPartitions("store", "line_id").drop("line_id")
+     .write.partitionBy("store").text(inbox))
+    lines = ingest.without_header(read_text_with_offset(spark, f"{inbox}/*"), POS_RECIPE)
+    ingest.ingest_run(ingest.parse_lines(lines, POS_RECIPE), root, "20240131")
+    store = F.split("body", ",")[1]
+    return (ingest.quarantined(spark, root, POS_RECIPE).groupBy("errCode", store.alias("store_id"))
+            .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("file", "offset").alias("places"),
+                 F.every(F.contains("file", F.concat(F.lit("store="), store))).alias("own_file")))
+
+
 STAGES_SQL = f"""SELECT CASE WHEN {BAD} THEN 'quarantined' ELSE 'loaded' END AS stage, count(*) AS records
                  FROM {POS_SQL} GROUP BY 1
                  UNION ALL SELECT 'recipe_in', count(*) FROM events"""
@@ -229,21 +246,31 @@ def k14_red_alerts(spark, sf_dir):
     return checks.red_alerts(log).withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query(f"""WITH nights AS (
+def budget_sql(period: str, days: str) -> str:
+    return f"""WITH nights AS (
         SELECT state, epoch(finished_at)::BIGINT // 60 AS finished, epoch(corrected_at)::BIGINT // 60 AS corrected,
-               epoch(CAST(sale_date AS TIMESTAMP))::BIGINT // 60 + 30 * 60 AS due FROM {RUNS_SQL}),
+               epoch(CAST(sale_date AS TIMESTAMP))::BIGINT // 60 + 30 * 60 AS due FROM {RUNS_SQL} WHERE {period}),
       period AS (
-        SELECT count(*) FILTER (state = 'DONE') AS done, 1440::DOUBLE * count(*) AS minutes,
+        SELECT count(*) FILTER (state = 'DONE') AS done, 1440::DOUBLE * {days} AS minutes,
                sum(greatest(finished - due, 0)) AS late, sum(coalesce(corrected - greatest(finished, due), 0)) AS wrong FROM nights),
       levels AS (SELECT unnest([{{'sli': 'job DONE by 06:00', 'bad': late}}, {{'sli': 'data fresh and complete', 'bad': late + wrong}}]) AS level,
                         done, minutes FROM period)
       SELECT level.sli AS sli, done AS nights_done, level.bad::BIGINT AS bad_min, minutes * 0.01::DOUBLE AS budget_min,
              round(100 - 100 * level.bad / minutes, 2) AS sli_pct, round(100 * level.bad / (minutes * 0.01::DOUBLE), 1) AS budget_used_pct
-      FROM levels""")
+      FROM levels"""
+
+
+@query(budget_sql("TRUE", "count(*)"))
 def k15_error_budget(spark, sf_dir):
     return checks.error_budget(load_runs(spark, sf_dir), days=None)
 
 
+@query(budget_sql(f"sale_date > (SELECT max(sale_date) - 30 FROM {RUNS_SQL})", "30"))
+def k15_error_budget_of_thirty_days(spark, sf_dir):
+    """The budget of the last thirty days, whatever was late before."""
+    return checks.error_budget(load_runs(spark, sf_dir))
+
+
 @query(f"""SELECT CAST(sale_date AS VARCHAR) AS sale_date, state, finished_at, rows_loaded FROM {RUNS_SQL}
            WHERE strftime(finished_at, '%H:%M:%S') > '06:00:00' OR corrected_at IS NOT NULL""")
 def k16_bad_nights(spark, sf_dir):

@@ -78,11 +78,10 @@ def baskets_by_day(spark, sf_dir, label):
 
 
 @query(f"""SELECT CAST(sale_date AS VARCHAR) AS sale_date, store_id, count(*) AS n, CAST(sum(items) AS BIGINT) AS items
-           FROM {BASKETS_SQL} WHERE sale_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-14' GROUP BY 1, 2""")
+           FROM {BASKETS_SQL} GROUP BY 1, 2""")
 def a6_partition_folders(spark, sf_dir):
     days = files.read_partitioned(spark, baskets_by_day(spark, sf_dir, "a6"))
-    return (days.where(F.col("sale_date").between(F.lit("2024-01-05").cast("date"), F.lit("2024-01-14").cast("date")))
-            .groupBy(F.col("sale_date").cast("string").alias("sale_date"), "store_id")
+    return (days.groupBy(F.col("sale_date").cast("string").alias("sale_date"), "store_id")
             .agg(F.count(F.lit(1)).alias("n"), F.sum("items").alias("items")))
 
 

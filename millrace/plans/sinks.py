@@ -62,15 +62,17 @@ def b5_create_table_as(spark, sf_dir):
     return spark.read.parquet(path).groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT l_shipdate AS shipped, l_partkey, l_quantity FROM lineitem
-          WHERE l_shipdate >= TIMESTAMP '1997-03-01' AND l_shipdate < TIMESTAMP '1997-04-01' AND l_partkey < 500""")
+@query("""SELECT strftime(l_shipdate, '%Y-%m') AS ship_month, l_partkey, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity,
+          min(l_shipdate) AS first_shipped FROM lineitem GROUP BY 1, 2""")
 def b6_partitioned_and_clustered(spark, sf_dir):
     path = scratch_path(spark, "b6")
     rows = (table(spark, sf_dir, "lineitem").select("l_shipdate", "l_partkey", "l_quantity")
             .withColumn("ship_month", F.trunc("l_shipdate", "month")))
     writes.write_partitioned(rows, path, "ship_month", ["l_partkey"])
-    return (writes.read_day_range(spark, path, "ship_month", dt.date(1997, 3, 1), dt.date(1997, 3, 1))
-            .where("l_partkey < 500").select(F.col("l_shipdate").alias("shipped"), "l_partkey", "l_quantity"))
+    months = spark.read.parquet(path).agg(F.min("ship_month"), F.max("ship_month")).first()
+    return (writes.read_day_range(spark, path, "ship_month", *(months if months[0] else (dt.date.min, dt.date.max)))
+            .groupBy(F.date_format("ship_month", "yyyy-MM").alias("ship_month"), "l_partkey")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"), F.min("l_shipdate").alias("first_shipped")))
 
 
 @query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -46,7 +47,7 @@ def shared_root(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named.rstrip("/")
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return context.getCheckpointDir().rstrip("/")

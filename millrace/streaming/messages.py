@@ -11,9 +11,9 @@ MESSAGE_SCHEMA = "body string, attributes map<string,string>, message_id string"
 ERROR_WIDTH = 500
 
 
-def read_feed(spark: SparkSession, inbox: str) -> DataFrame:
-    """A stream over a folder into which message files arrive."""
-    return spark.readStream.schema(MESSAGE_SCHEMA).json(inbox)
+def read_feed(spark: SparkSession, inbox: str, files_per_batch: int = 10_000) -> DataFrame:
+    """A stream over a folder into which message files arrive; a backlog is read in several batches."""
+    return spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", files_per_batch).json(inbox)
 
 
 def from_kafka(records: DataFrame) -> DataFrame:

@@ -7,14 +7,15 @@ from pyspark.sql import DataFrame, functions as F
 from millrace.functions.scalars import money_sum
 
 
-def once_per_sale(sales: DataFrame, delay: str = "10 minutes", salts: int = 16) -> DataFrame:
+def once_per_sale(sales: DataFrame, delay: str = "10 minutes", salts: int | None = None) -> DataFrame:
     """Drop repeats of a producer's id. The state is bounded by the watermark delay.
 
-    One id may be repeated very often. Its copies are first reduced in ``salts`` groups, by
-    input partition and message, so that at most that many of them meet in one task. Which
+    One id may be repeated very often. Its copies are first reduced in ``salts`` groups (by
+    default one for each shuffle partition of the session), by input partition and message, so that at most that many of them meet in one task. Which
     group a copy falls into does not matter to the result. A sale without an id repeats
     none: its message stands for it.
     """
+    salts = salts or int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = F.struct(F.col("sale_id"), F.when(F.col("sale_id").isNull(), F.col("message_id")).alias("message"))
     salt = F.pmod(F.xxhash64(F.spark_partition_id(), "message_id"), F.lit(salts))
     salted = sales.withColumn("_salt", salt).withColumn("_sale", own).withWatermark("ts", delay)

@@ -15,6 +15,9 @@ QUERIES, ORACLES = queries(), oracle_sql()
 # At this small scale no row qualifies for these.
 MAY_BE_EMPTY = {"e12_aggregate_over_nothing", "j9_windows_around_a_moment"}
 
+# Compares a handful of column names.
+ONE_ROW_SIDE = {"d6_contract_difference"}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -35,6 +38,8 @@ def test_agrees_with_sql(name, spark, duck):
     want = sorted(repr(tuple(r[names.index(c)] for c in columns)) for r in answer.fetchall())
     assert got == want
     assert got or name in MAY_BE_EMPTY
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert name in ONE_ROW_SIDE or ("CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text)
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import writes
+from millrace.operators.aggregates import ordered_distinct_text
 from millrace.operators.versions import VersionedTable, read_snapshot
 from millrace.session import scratch_path
 from millrace.sources import files
@@ -146,8 +147,38 @@ def test_csv_by_name_with_several_layouts_in_one_folder(spark, tmp_path):
 
 def test_offsets_are_bytes(spark, tmp_path):
     (tmp_path / "lines.txt").write_bytes("é,1\nab\r\nlast".encode())
-    got = sorted(map(tuple, files.read_text_with_offset(spark, str(tmp_path / "lines.txt")).collect()))
-    assert got == [(0, "é,1"), (5, "ab"), (9, "last")]
+    lines = files.read_text_with_offset(spark, str(tmp_path / "lines.txt"))
+    assert sorted(map(tuple, lines.select("offset", "body").collect())) == [(0, "é,1"), (5, "ab"), (9, "last")]
+
+
+def test_offsets_over_splits_and_files(spark, tmp_path):
+    want = set()
+    for name, count in (("a.txt", 3000), ("b.txt", 40), ("empty.txt", 0)):
+        data = "".join("ü" * (i % 23) + f" {i}\n" for i in range(count)).encode()
+        (tmp_path / name).write_bytes(data)
+        at = 0
+        for line in data.split(b"\n")[:-1]:
+            want.add((name, at, line.decode()))
+            at += len(line) + 1
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = files.read_text_with_offset(spark, str(tmp_path))
+        got = [(r["file"].rsplit("/", 1)[1], r["offset"], r["body"]) for r in lines.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_one_file_and_one_text_are_bounded(spark, tmp_path):
+    rows = spark.range(20).select("id", F.lit("g").alias("g"))
+    writes.export_rollup_csv(rows, str(tmp_path / "fits"), most=20)
+    assert spark.read.option("header", True).csv(str(tmp_path / "fits")).count() == 20
+    with pytest.raises(Exception, match="more than 19 rows"):
+        writes.export_rollup_csv(rows, str(tmp_path / "too-long"), most=19)
+    text = rows.groupBy("g").agg(ordered_distinct_text(F.col("id").cast("string"), most=20).alias("t")).first()["t"]
+    assert len(text.split(",")) == 20
+    with pytest.raises(Exception, match="more than 19 distinct"):
+        rows.groupBy("g").agg(ordered_distinct_text(F.col("id").cast("string"), most=19).alias("t")).collect()
 
 
 HARD_KEYS = ["a:b", "a/b", "c d", "50%", "x=y", "", None]

@@ -121,9 +121,10 @@ def check_log(report: DataFrame, at: Column) -> DataFrame:
         "severity", F.when(F.col("status") == "RED", "ERROR").otherwise("INFO"))
 
 
-def red_alerts(log: DataFrame, window: str = "5 minutes") -> DataFrame:
-    """Signals that were RED in a window, batch or stream."""
-    return (log.where(F.col("status") == "RED")
+def red_alerts(log: DataFrame, window: str = "5 minutes", delay: str = "5 minutes") -> DataFrame:
+    """Signals that were RED in a window, batch or stream; a stream waits ``delay`` for late entries."""
+    return ((log.withWatermark("ts", delay) if log.isStreaming else log)
+            .where(F.col("status") == "RED")
             .groupBy(F.window("ts", window).alias("w"), "signal").agg(F.count(F.lit(1)).alias("reds"))
             .where("reds > 0").select(F.col("w.start").alias("window_start"), "signal", "reds"))
 

@@ -12,7 +12,9 @@ from __future__ import annotations
 import datetime as dt
 import json
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.operators.writes import only_partition, partition_folder
@@ -86,15 +88,19 @@ class VersionedTable:
         # ranges of (partition, row hash) give a partition as many tasks as its size asks for
         (df.repartitionByRange(F.col(self.partition), F.xxhash64(*df.columns))
          .write.mode("overwrite").partitionBy(self.partition).parquet(target))
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(target)
-        system = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        names = [s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory()]
-        return {n: f"{target}/{n}" for n in names}
+        # which folders there are now, from the names of the files; a path is given in URL form
+        written = self.spark.read.schema(df.schema).option("basePath", target).parquet(target)
+        folders = written.select(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("name")).distinct()
+        return {name: f"{target}/{name}" for name in (unquote(r["name"]) for r in folders.collect())}
 
     def create(self, df: DataFrame, when: dt.datetime | None = None) -> int:
         """The first version. A table that exists is refused."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_log")
-        if folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+        try:
+            self.spark.read.schema(LOG_SCHEMA).parquet(f"{self.root}/_log")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+        else:
             raise ValueError(f"{self.root} exists already")
         return self._commit(1, when, df.schema, list(self._store(df, 1).items()))
 

@@ -14,7 +14,7 @@ from millrace.plans.derived import BASKETS_SQL, POS_SQL, RUNS_SQL, baskets, load
 from millrace.plans.projections import POS_TYPED_SQL
 from millrace.plans.registry import query, table
 from millrace.session import scratch_path
-from millrace.sources.files import read_text_with_offset
+from millrace.sources.files import read_partitioned, read_text_with_offset
 
 AS_OF = dt.datetime(2024, 1, 31, 11, 0)
 ZONE = "America/New_York"
@@ -147,7 +147,7 @@ CONTRACT = [("sale_date", "date"), ("store_id", "string"), ("region", "string"),
 
 
 def _partitions(rows):
-    """Partition metadata as recorded by the load itself."""
+    """Partition metadata, one row a day, as the load computes it from the rows it has."""
     return rows.groupBy(F.date_format("sale_date", "yyyyMMdd").alias("partition_id")).agg(
         F.count(F.lit(1)).alias("total_rows"), F.max("loaded_at").cast("timestamp").alias("last_modified_time"))
 
@@ -180,9 +180,23 @@ def _report(rows, visible=None):
                                  "sale_date", "basket_value", AS_OF, ZONE)
 
 
+def loaded_nights(rows, label):
+    """What a load leaves behind: the rows in one folder a day, and their partitions in a table of its own.
+
+    Checks afterwards prune the rows to the days they compare and read one metadata row a day.
+    """
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, label)
+    rows.repartitionByRange("sale_date", "basket_id").write.partitionBy("sale_date").parquet(f"{path}/rows")
+    stored = read_partitioned(spark, f"{path}/rows")
+    _partitions(stored).write.parquet(f"{path}/partitions")
+    return stored, spark.read.parquet(f"{path}/partitions")
+
+
 @query(checks_sql(BASKETS_SQL, "matches contract", "GREEN"))
 def k13_nightly_report(spark, sf_dir):
-    return _report(baskets(spark, sf_dir))
+    stored, partitions = loaded_nights(baskets(spark, sf_dir), "k13")
+    return checks.nightly_checks(stored.select(*[c for c, _ in CONTRACT]), partitions, CONTRACT,
+                                 "sale_date", "basket_value", AS_OF, ZONE)
 
 
 LOST_NIGHT_SQL = f"(SELECT * FROM {BASKETS_SQL} WHERE sale_date < DATE '2024-01-30')"
@@ -191,7 +205,7 @@ LOST_NIGHT_SQL = f"(SELECT * FROM {BASKETS_SQL} WHERE sale_date < DATE '2024-01-
 @query(f"""SELECT * FROM ({checks_sql(LOST_NIGHT_SQL, "matches contract", "GREEN")}) WHERE signal = 'freshness'""")
 def k9_freshness_of_lost_night(spark, sf_dir):
     rows = baskets(spark, sf_dir).where(F.col("sale_date") < F.lit("2024-01-30").cast("date"))
-    return checks.freshness_check(_partitions(rows), AS_OF, ZONE).drop("ord")
+    return checks.freshness_check(loaded_nights(rows, "k9")[1], AS_OF, ZONE).drop("ord")
 
 
 @query(f"""WITH d AS (SELECT store_id, sale_date, count(*) AS n FROM {BASKETS_SQL} GROUP BY 1, 2),

@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import last_n_days
-from millrace.operators import aggregates, joins, writes
-from millrace.plans.derived import accounts, trips
+from millrace.operators import aggregates, checks, joins, writes
+from millrace.plans.derived import accounts, baskets, trips
+from millrace.plans.ingestion import AS_OF, CONTRACT, ZONE, loaded_nights
 from millrace.session import scratch_path
 from __spark_entry__ import queries
 from tests.conftest import SF_DIR
@@ -89,6 +90,17 @@ def test_partition_and_row_group_pruning(spark):
     assert "PartitionFilters: [isnotnull(day" in pruned
 
 
+def test_nightly_report_reads_eight_days(spark):
+    stored, partitions = loaded_nights(baskets(spark, SF_DIR), "nights")
+    report = checks.nightly_checks(stored.select(*[c for c, _ in CONTRACT]), partitions, CONTRACT,
+                                   "sale_date", "basket_value", AS_OF, ZONE)
+    report.collect()
+    text = report._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert all("PartitionFilters: [isnotnull(sale_date" in line or "total_rows" in line for line in scans)
+    assert any("sale_date" in line and ">= 2024-01-23" in line for line in scans)
+
+
 def test_key_shares_need_no_single_partition_window(spark, sides):
     text = plan(aggregates.key_shares(sides[0], "account_id"))
     assert "Window" not in text and "Subquery" in text

@@ -126,7 +126,7 @@ def _labeller(languages: list[str], logs, allowed, spans: bool):
                 distinct, codes, bounds = word_codes(part.column(1), lower=not spans)
                 gram, each, letters, script = word_parts(distinct.to_pylist())
                 owner = np.repeat(np.arange(len(each)), each)
-                scores = np.stack([np.bincount(owner, row[gram], len(each)) for row in table_], axis=1)
+                scores = np.stack([np.bincount(owner, row[gram], len(each)) for row in table_], axis=1, dtype=np.float64)
                 scores -= np.where(may[script] | (script < 0)[:, None], 0.0, UNLIKELY)
                 found, shares, cut = [], [], []
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.common import stored, table
 from millrace.llm.exact_dedup import exact_duplicates
 from millrace.llm.minhash import near_duplicates
-from millrace.llm.mixing import in_mixed_order
+from millrace.llm.mixing import in_mixed_order, mixed_places
 from millrace.llm.packing import packed
 from millrace.llm.quality import quality_scores
 
@@ -50,8 +50,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their places in training sequences."""
-    return packed(docs)
+    """Pieces of documents with their places in training sequences, which follow the order of the mix."""
+    return packed(docs, places=mixed_places(docs))
 
 
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("mix", mix), ("pack", pack)]

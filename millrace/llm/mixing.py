@@ -98,14 +98,18 @@ def mixed_order(docs: DataFrame, targets: dict[str, int] | None = None,
                     (F.col("slot") * block_documents + F.col("place")).alias("position"), "parts"))
 
 
+def mixed_places(docs: DataFrame, targets: dict[str, int] | None = None) -> DataFrame:
+    """(_key, _position): one row for each pair of doc_id and source; rows that repeat it share its first position."""
+    keys = F.struct("doc_id", "source")
+    return mixed_order(docs, targets).groupBy(keys.alias("_key")).agg(F.min("position").alias("_position"))
+
+
 def in_mixed_order(docs: DataFrame, targets: dict[str, int] | None = None) -> DataFrame:
     """The documents themselves, with their own columns, sorted over all partitions by their position.
 
     Rows that repeat a doc_id and source share their positions. A row without doc_id comes first.
     """
-    keys = F.struct("doc_id", "source")
-    places = mixed_order(docs, targets).groupBy(keys.alias("_key")).agg(F.min("position").alias("_position"))
-    return (docs.withColumn("_key", keys).join(places, "_key").drop("_key")
+    return (docs.withColumn("_key", F.struct("doc_id", "source")).join(mixed_places(docs, targets), "_key").drop("_key")
             .repartitionByRange(partitions(docs.sparkSession), "_position").sortWithinPartitions("_position")
             .drop("_position"))
 

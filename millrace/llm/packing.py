@@ -6,6 +6,10 @@ generation, with a knapsack by dynamic programming that prices new patterns; its
 the few lengths left over are packed greedily. Documents are ranked within their length, without
 any length meeting in one task, and a piece's rank says which copy of which pattern it belongs to.
 
+With an order of the documents, ``SEGMENT`` positions after each other are packed by a plan of their own, the
+copies of its patterns are spread evenly, and pieces of one length are dealt to them by position. So
+sequences follow the order: all of a segment come before those of the next one.
+
 Null and empty texts are a piece of one id. Rows that repeat a ``doc_id`` are packed each. Other
 columns are ignored. An empty table gives an empty result.
 """
@@ -15,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -23,12 +28,14 @@ from millrace.llm.common import slices, stored, table, with_rank
 from millrace.llm.tokens import encoder, tokenizer_path
 
 UNIT = 16  # tokens; a piece's length is rounded up to whole units in patterns
+SEGMENT = 4096  # positions that one plan packs where documents have an order
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def token_pieces(docs: DataFrame, capacity: int, closing: int, path: str | None) -> DataFrame:
-    """Each document's ids cut into full sequences and a rest."""
+def token_pieces(docs: DataFrame, capacity: int, closing: int, path: str | None, source: bool = False) -> DataFrame:
+    """Each document's ids cut into full sequences and a rest; with ``source``, that column too."""
+    more = ["source"] * source
     path = tokenizer_path(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,10 +54,11 @@ def token_pieces(docs: DataFrame, capacity: int, closing: int, path: str | None)
                         rows.append((i, at - a, end - at, zlib.crc32(ids[at:end].tobytes()), b - a))
                 found = np.array(rows, dtype=np.int64).reshape(-1, 5)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(found[:, 0])), *[pa.array(found[:, k]) for k in range(1, 5)]],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                    [part.column(0).take(pa.array(found[:, 0])), *[pa.array(found[:, k]) for k in range(1, 5)],
+                     *[part.column(2).take(pa.array(found[:, 0])) for _ in more]],
+                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *more])
 
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES)
+    return docs.select("doc_id", "text", *more).mapInArrow(run, PIECES + ", source string" * source)
 
 
 def _best_pattern(values: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float, np.ndarray]:
@@ -115,10 +123,20 @@ def cutting_plan(counts: dict[int, int], room: int, rounds: int = 4000) -> list[
     return plan
 
 
-def packed(docs: DataFrame, capacity: int = 4096, closing: int = 2, path: str | None = None) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    pieces = stored(token_pieces(docs, capacity, closing, path), "pieces").withColumn(
-        "units", F.ceil(F.col("length") / UNIT).cast("int"))
+def spread_plan(counts: dict[int, int], room: int) -> dict[int, np.ndarray]:
+    """For each size, the sequence of its first, second, ... piece; copies of every pattern are spread evenly over the sequences."""
+    plan = cutting_plan(counts, room)
+    if not plan:
+        return {}
+    pattern = np.repeat(np.arange(len(plan)), [c for _, c in plan])
+    due = np.concatenate([(np.arange(c) + 0.5) / c for _, c in plan])
+    pattern = pattern[np.argsort(due, kind="stable")]
+    sequence = np.arange(len(pattern))
+    return {s: np.repeat(sequence, np.array([p.get(s, 0) for p, _ in plan])[pattern]) for s, n in counts.items() if n > 0}
+
+
+def _placed_by_rank(pieces: DataFrame, capacity: int) -> DataFrame:
+    """Pieces with rank and sequence_id by one plan for all, in no order."""
     counts = {r["units"]: r["n"] for r in pieces.groupBy("units").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows, ranks, sequence = [], dict.fromkeys(counts, 0), 0
     for pattern, copies in cutting_plan(counts, capacity // UNIT):
@@ -126,11 +144,45 @@ def packed(docs: DataFrame, capacity: int = 4096, closing: int = 2, path: str |
             rows.append((units, ranks[units], ranks[units] + times * copies, times, sequence))
             ranks[units] += times * copies
         sequence += copies
-    plan = docs.sparkSession.createDataFrame(rows, "units int, first long, last long, times int, first_sequence long")
+    plan = pieces.sparkSession.createDataFrame(rows, "units int, first long, last long, times int, first_sequence long")
     ranked = with_rank(pieces, "units", ["doc_id", "start"], "rank")
     inside = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("last"))
-    placed = (ranked.join(F.broadcast(plan), "units").where(inside)
-              .withColumn("sequence_id", F.expr("first_sequence + (rank - first) DIV times")))
+    return (ranked.join(F.broadcast(plan), "units").where(inside)
+            .withColumn("sequence_id", F.expr("first_sequence + (rank - first) DIV times")))
+
+
+def _placed_in_order(pieces: DataFrame, places: DataFrame, capacity: int) -> DataFrame:
+    """Pieces with rank and sequence_id by a plan for each segment of positions; segments come one after the other."""
+    room = capacity // UNIT
+
+    def planned(found: pd.DataFrame) -> pd.DataFrame:
+        dealt = spread_plan(dict(zip(found["units"].tolist(), found["n"].tolist())), room)
+        parts = [pd.DataFrame({"segment": found["segment"].iloc[0], "units": s, "rank": np.arange(len(q)), "sequence": q}) for s, q in dealt.items()]
+        return pd.concat(parts)
+
+    spark = pieces.sparkSession
+    located = stored(pieces.withColumn("_key", F.struct("doc_id", "source")).join(places, "_key").drop("_key", "source")
+                     .withColumn("segment", F.expr(f"_position DIV {SEGMENT}")), "located")
+    counts = located.groupBy("segment", "units").agg(F.count(F.lit(1)).alias("n"))
+    plan = stored(counts.groupBy("segment").applyInPandas(planned, "segment long, units int, rank long, sequence long"), "plan")
+    sizes = sorted(map(tuple, plan.groupBy("segment").agg(F.max("sequence") + 1).collect()))
+    before = np.cumsum([0, *(n for _, n in sizes)]).tolist()
+    firsts = spark.createDataFrame([(s, b) for (s, _), b in zip(sizes, before)], "segment long, first_sequence long")
+    inside = Window.partitionBy("segment", "units").orderBy("_position", "doc_id", "start")
+    ranked = located.withColumn("rank", F.row_number().over(inside).cast("long") - 1)
+    return (ranked.join(plan, ["segment", "units", "rank"]).join(F.broadcast(firsts), "segment")
+            .withColumn("sequence_id", F.expr("first_sequence + sequence")))
+
+
+def packed(docs: DataFrame, capacity: int = 4096, closing: int = 2, path: str | None = None,
+           places: DataFrame | None = None) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``places`` has the position of every pair of doc_id and source, as ``mixed_places`` gives it.
+    """
+    pieces = stored(token_pieces(docs, capacity, closing, path, places is not None), "pieces").withColumn(
+        "units", F.ceil(F.col("length") / UNIT).cast("int"))
+    placed = _placed_by_rank(pieces, capacity) if places is None else _placed_in_order(pieces, places, capacity)
     before = (Window.partitionBy("sequence_id").orderBy(F.desc("units"), "rank")
               .rowsBetween(Window.unboundedPreceding, -1))
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",

@@ -353,3 +353,23 @@ def test_pipeline_stage_by_stage(spark, hard, empty):
             docs = stage(spark, docs, SF)
             assert name == "pack" or docs.columns == frame.columns
         assert (docs.count() > 0) == (frame is hard)
+
+
+def test_packed_sequences_follow_the_mix(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SEGMENT", 512)
+    text = {"hot": "word " * 40, "mid": "some words " * 300, "low": "a b c d e f g " * 9}
+    rows = [(i, text[s], s) for i, s in enumerate(["hot"] * 2400 + ["mid"] * 400 + ["low"] * 200)]
+    rows = [(i, t + "more " * random.Random(i).randint(0, 60), s) for i, t, s in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = corpus_pipeline.pack(spark, docs, SF).toPandas()
+    order = mixing.mixed_order(docs).toPandas().set_index("doc_id")
+    assert sorted(found.doc_id) == list(range(3000)) and set(found.sequence_id) == set(range(found.sequence_id.max() + 1))
+    assert (found.groupby("sequence_id").length.sum() <= 4096).all()
+    found["position"] = found.doc_id.map(order.position)
+    found = found.sort_values(["sequence_id", "offset"])
+    found["source"] = found.doc_id.map(order.source)
+    assert (found.position // 512).is_monotonic_increasing
+    mixed = order.sort_values("position").source.tolist()
+    for at in range(256, 3000, 256):  # as many of each source as in the mix, up to half a segment
+        have, want = collections.Counter(found.source[:at]), collections.Counter(mixed[:at])
+        assert all(abs(have[s] - want[s]) <= 64 for s in text), (at, have, want)

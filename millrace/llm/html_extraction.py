@@ -7,7 +7,7 @@ page's best are dropped. Subtrees that say what they are (menus, adverts, forms,
 like, by tag or by the words of class, id and role) never count; where a page marks an article or a main part,
 only blocks in it do.
 
-Null and empty html give an empty text. Unclosed tags end where their block does. Pages are
+Null and empty html give an empty text. Unclosed tags end where their block does, and embedded objects that nothing closes with their tag. Pages are
 independent, so ties, repeated rows and nulls in other columns are passed through.
 """
 
@@ -29,6 +29,7 @@ TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*+)"|'([^']*+)'|([^\s>"']++))""", re.I)
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 RAW = frozenset("script style template textarea title iframe object svg math noscript noframes xmp".split())
+EMBEDDED = frozenset("iframe object svg math noscript".split())  # of RAW, those that end with their tag if nothing closes them
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("""html head body p div section article main header footer nav aside h1 h2 h3 h4 h5 h6 ul ol li dl dt
     dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption form fieldset address details
@@ -95,9 +96,9 @@ def blocks_of(html: str) -> list[tuple[int, int, bool, str]]:
                 if tag not in BLOCKS and stack[depth][0] in BLOCKS:
                     break
             continue
-        if tag in RAW:
+        if tag in RAW and not (tag in ("svg", "math") and attributes.endswith("/")):
             close = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(html, at)
-            at = close.end() if close else end
+            at = close.end() if close else at if tag in EMBEDDED else end
             text.append(" ")
             continue
         if tag == "br":

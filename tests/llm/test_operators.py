@@ -373,3 +373,10 @@ def test_packed_sequences_follow_the_mix(spark, monkeypatch):
     for at in range(256, 3000, 256):  # as many of each source as in the mix, up to half a segment
         have, want = collections.Counter(found.source[:at]), collections.Counter(mixed[:at])
         assert all(abs(have[s] - want[s]) <= 64 for s in text), (at, have, want)
+
+
+@pytest.mark.parametrize("tag", ["<svg class='icon'/>", "<math/>", "<object data=x>", "<iframe src=x>", "<noscript>", "<svg>"])
+def test_embedded_tags_without_an_end_cut_nothing(tag):
+    assert html_extraction.main_text(f"<body><p>Some text, before.</p>{tag}<p>And some, after.</p>") == "Some text, before.\nAnd some, after."
+    closed = f"<body><p>One text, here.</p><svg/><p>Another, here.</p><svg><text>no</text></svg>{tag}<p>A third, here.</p>"
+    assert html_extraction.main_text(closed) == "One text, here.\nAnother, here.\nA third, here."

@@ -2,10 +2,11 @@
 
 A page is read as a sequence of text blocks, each with the path of block tags from the root to it. For
 every path the characters and punctuation marks of its blocks are divided by the number of its blocks;
-the ratios are smoothed over the paths with the same parent, fused, and paths below a share of the
-page's best are dropped. Subtrees that say what they are (menus, adverts, forms, comments and the
+the ratios are smoothed over the paths with the same parent and fused. Paths that reach a share of the
+page's best are strong, and the lowest path above all of them is the content region; every block in it is kept,
+however short. Subtrees that say what they are (menus, adverts, forms, comments and the
 like, by tag or by the words of class, id and role) never count; where a page marks an article or a main part,
-only blocks in it do.
+it is the region.
 
 Null and empty html give an empty text. Unclosed tags end where their block does, and embedded objects that nothing closes with their tag. Pages are
 independent, so ties, repeated rows and nulls in other columns are passed through.
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm.common import slices, table
 
-SHARE = 0.2  # of the best path's score that a content path must reach
+SHARE = 0.2  # of the best path's score that a path must reach to say where the content is
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
                  r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)""", re.S)
@@ -42,6 +43,8 @@ NOISE_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsen
 NEVER_NOISE = frozenset(("html", "body", "article", "main"))
 CLOSES = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
           "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
+INSIDE = frozenset("""p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption
+    details summary""".split())  # blocks that are a part of some content and no region of their own
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？؟।]")
 
 
@@ -54,8 +57,8 @@ def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
     return bool(words & NOISE_WORDS) or not in_article and "header" in words
 
 
-def blocks_of(html: str) -> list[tuple[int, int, bool, str]]:
-    """(path, parent path, inside an article or main part, text) of each block outside known noise."""
+def blocks_of(html: str) -> tuple[list[tuple[int, int, bool, str]], dict[int, tuple[int, str]]]:
+    """(path, parent path, inside an article or main part, text) of each block outside known noise; parent and tag of each path."""
     paths: dict[tuple[int, str], int] = {}
     stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, path, noise, in article
     blocks: list[tuple[int, int, bool, str]] = []
@@ -125,13 +128,30 @@ def blocks_of(html: str) -> list[tuple[int, int, bool, str]]:
         noise = noise or _is_noise(tag, attributes, in_article)
         stack.append((tag, path, noise, in_article or tag in ("article", "main")))
     flush()
-    return blocks
+    return blocks, {path: at for at, path in paths.items()}
+
+
+def region_of(strong: set[int], above: dict[int, tuple[int, str]]) -> int:
+    """The lowest path above all of ``strong`` that isn't a list, a table or another part of some content; 0 is the root."""
+    def region(path: int) -> int:
+        while path and above[path][1] in INSIDE:
+            path = above[path][0]
+        return path
+
+    tops = {region(p) for p in strong}
+    while len(tops) > 1:  # a path's number is larger than its parent's
+        low = max(tops)
+        tops.remove(low)
+        tops.add(region(above[low][0]))
+    return tops.pop()
 
 
 def main_text(html: str) -> str:
-    blocks = blocks_of(html)
+    blocks, above = blocks_of(html)
     if any(b[2] for b in blocks):
-        blocks = [b for b in blocks if b[2]]
+        return "\n".join(b[3] for b in blocks if b[2])
+    if not blocks:
+        return ""
     totals: dict[int, list[float]] = {}
     siblings: dict[int, list[float]] = {}
     for path, parent, _, text in blocks:
@@ -145,8 +165,12 @@ def main_text(html: str) -> str:
         all_n, all_chars, all_marks = siblings[parent_of[path]]
         length, punctuation = (chars / n + all_chars / all_n) / 2, (marks / n + all_marks / all_n) / 2
         scores[path] = length * (1 + punctuation) ** 0.5
-    least = SHARE * max(scores.values(), default=0)
-    return "\n".join(text for path, _, _, text in blocks if scores[path] >= least)
+    least = SHARE * max(scores.values())
+    inside = {region_of({p for p in scores if scores[p] >= least}, above)}
+    for path in sorted(above):
+        if above[path][0] in inside:
+            inside.add(path)
+    return "\n".join(text for path, _, _, text in blocks if path in inside)
 
 
 def extracted(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -380,3 +380,12 @@ def test_embedded_tags_without_an_end_cut_nothing(tag):
     assert html_extraction.main_text(f"<body><p>Some text, before.</p>{tag}<p>And some, after.</p>") == "Some text, before.\nAnd some, after."
     closed = f"<body><p>One text, here.</p><svg/><p>Another, here.</p><svg><text>no</text></svg>{tag}<p>A third, here.</p>"
     assert html_extraction.main_text(closed) == "One text, here.\nAnother, here.\nA third, here."
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_short_blocks_of_the_content_are_kept(tag):
+    long = "A sentence of some length, with marks; it goes on, and on. " * 9
+    page = (f"<body><div><{tag}><h2>Why</h2><p>{long}</p><ul><li>one item</li><li>two</li></ul><table><caption>Sizes</caption><tr><td>a</td>"
+            f"<td>5</td></tr></table><blockquote><p>So be it.</p></blockquote><div><h3>How</h3></div><p>{long}</p></{tag}></div><nav>Home</nav>")
+    want = ["Why", long.strip(), "one item", "two", "Sizes", "a", "5", "So be it.", "How", long.strip()]
+    assert html_extraction.main_text(page).split("\n") == want

@@ -5,7 +5,9 @@ every path the characters and punctuation marks of its blocks are divided by the
 the ratios are smoothed over the paths with the same parent and fused. Paths that reach a share of the
 page's best are strong, and the lowest path above all of them is the content region; every block in it is kept,
 however short. Subtrees that say what they are (menus, adverts, forms, comments and the
-like, by tag or by the words of class, id and role) never count; where a page marks an article or a main part,
+like, by tag or by the words of class, id and role) don't count. But a main part always does, and one that is a form or
+noise by its words alone is only a wrapper where it holds more than half of the text (of comments: nine tenths) or there is
+no other: then its children are judged. Where a page marks an article or a main part,
 it is the region.
 
 Null and empty html give an empty text. Unclosed tags end where their block does, and embedded objects that nothing closes with their tag. Pages are
@@ -35,11 +37,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("""html head body p div section article main header footer nav aside h1 h2 h3 h4 h5 h6 ul ol li dl dt
     dd table thead tbody tfoot tr td th caption blockquote pre figure figcaption form fieldset address details
     summary hr center option select""".split())
-NOISE_TAGS = frozenset("head nav footer aside form button select dialog menu fieldset canvas audio video".split())
+NOISE_TAGS = frozenset("head nav footer aside button select dialog menu fieldset canvas audio video".split())
 NOISE_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsense adslot banner sponsor sponsored promo promotion
     cookie cookies consent gdpr notice alert sidebar comment comments reply replies respond disqus menu nav
     navbar navigation breadcrumb breadcrumbs footer share sharing social related recommended newsletter subscribe
     subscription signup login search popup modal overlay widget pagination pager toolbar""".split())
+COMMENT_WORDS = frozenset("comment comments reply replies respond disqus".split())
+WRAPPER, COMMENTS_WRAPPER = 0.5, 0.9  # share of the page's text above which noise by words is only a wrapper
 NEVER_NOISE = frozenset(("html", "body", "article", "main"))
 CLOSES = {"li": ("li", ("ul", "ol")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "tr": ("tr td th", ("table",)),
           "td": ("td th", ("tr", "table")), "th": ("td th", ("tr", "table")), "option": ("option", ("select",))}
@@ -48,29 +52,56 @@ INSIDE = frozenset("""p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tf
 PUNCTUATION = re.compile(r"[.,;:!?…。，、！？؟।]")
 
 
-def _is_noise(tag: str, attributes: str, in_article: bool) -> bool:
+def _noise_share(tag: str, attributes: str, in_article: bool) -> float | None:
+    """None if no noise, 2 if noise by its tag, else the share of the page's text above which it is only a wrapper."""
     if tag in NOISE_TAGS or tag == "header" and not in_article:
-        return True
-    if tag in NEVER_NOISE or not attributes:
-        return False
-    words = {w.lower() for found in ATTRIBUTE.findall(attributes) for w in WORD.findall(" ".join(found[1:]))}
-    return bool(words & NOISE_WORDS) or not in_article and "header" in words
+        return 2
+    if tag in NEVER_NOISE:
+        return None
+    words = {w.lower() for found in ATTRIBUTE.findall(attributes) for w in WORD.findall(" ".join(found[1:]))} if attributes else set()
+    if words & COMMENT_WORDS:
+        return COMMENTS_WRAPPER
+    return WRAPPER if tag == "form" or words & NOISE_WORDS or not in_article and "header" in words else None
+
+
+def _counted(wrappers: list[tuple[int, float]], owners: list[int], sizes: list[int]) -> set[int]:
+    """The subtrees of noise by words that are only wrappers, and 0."""
+    own = [0] * len(wrappers)
+    for owner, size in zip(owners, sizes):
+        own[owner] += size
+    held, inner = own.copy(), [[] for _ in wrappers]
+    for k in range(len(wrappers) - 1, 0, -1):  # one's number is larger than that of the one around it
+        held[wrappers[k][0]] += held[k]
+        inner[wrappers[k][0]].append(k)
+    counted, seen, next_ = {0}, own[0], inner[0]
+    while next_:
+        found = [k for k in next_ if held[k] > wrappers[k][1] * held[0]]
+        if not found and not seen:  # nothing else is there
+            found = [k for k in next_ if wrappers[k][1] == WRAPPER and held[k]] or next_
+        counted.update(found)
+        seen += sum(own[k] for k in found)
+        next_ = [j for k in found for j in inner[k]]
+    return counted
 
 
 def blocks_of(html: str) -> tuple[list[tuple[int, int, bool, str]], dict[int, tuple[int, str]]]:
     """(path, parent path, inside an article or main part, text) of each block outside known noise; parent and tag of each path."""
     paths: dict[tuple[int, str], int] = {}
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, path, noise, in article
+    stack: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 0)]  # tag, path, noise by tag, in article, wrapper
     blocks: list[tuple[int, int, bool, str]] = []
+    owners: list[int] = []  # of each block, the innermost subtree that is noise by its words; 0 is none
+    wrappers: list[tuple[int, float]] = [(0, 0)]  # the one around it, and the share above which it is a wrapper
     parents = {0: 0}
-    text: list[str] = []
+    text: dict[int, list[str]] = {}  # by wrapper, so that noise inside a line is a block of its own
 
     def flush():
-        words = " ".join(markup.unescape("".join(text)).split()) if text else ""
+        for owner, parts in text.items():
+            words = " ".join(markup.unescape("".join(parts)).split())
+            if words:
+                at = next(e for e in reversed(stack) if e[0] in BLOCKS or not e[0])
+                blocks.append((at[1], parents[at[1]], at[3], words))
+                owners.append(owner)
         text.clear()
-        if words:
-            at = next(e for e in reversed(stack) if e[0] in BLOCKS or not e[0])
-            blocks.append((at[1], parents[at[1]], at[3], words))
 
     def pop(keep: int):
         flush()
@@ -80,7 +111,7 @@ def blocks_of(html: str) -> tuple[list[tuple[int, int, bool, str]], dict[int, tu
     while at < end:
         found = TAG.search(html, at)
         if not stack[-1][2]:
-            text.append(html[at:found.start() if found else end])
+            text.setdefault(stack[-1][4], []).append(html[at:found.start() if found else end])
         if not found:
             break
         at = found.end()
@@ -102,10 +133,10 @@ def blocks_of(html: str) -> tuple[list[tuple[int, int, bool, str]], dict[int, tu
         if tag in RAW and not (tag in ("svg", "math") and attributes.endswith("/")):
             close = re.compile(f"</{re.escape(tag)}[^>]*(?:>|\\Z)", re.I).search(html, at)
             at = close.end() if close else at if tag in EMBEDDED else end
-            text.append(" ")
+            text.setdefault(stack[-1][4], []).append(" ")
             continue
         if tag == "br":
-            text.append(" ")
+            text.setdefault(stack[-1][4], []).append(" ")
             continue
         if tag in VOID and tag != "hr":
             continue
@@ -121,13 +152,23 @@ def blocks_of(html: str) -> tuple[list[tuple[int, int, bool, str]], dict[int, tu
                         break
         if tag == "hr" or attributes.endswith("/") and tag not in BLOCKS:
             continue
-        _, path, noise, in_article = stack[-1]
+        _, path, noise, in_article, owner = stack[-1]
         if tag in BLOCKS:
             path = paths.setdefault((path, tag), len(paths) + 1)
             parents[path] = stack[-1][1]
-        noise = noise or _is_noise(tag, attributes, in_article)
-        stack.append((tag, path, noise, in_article or tag in ("article", "main")))
+        share = None if noise else _noise_share(tag, attributes, in_article)
+        if tag == "main":
+            noise, owner = False, 0
+        elif share == 2:
+            noise = True
+        elif share is not None:
+            wrappers.append((owner, share))
+            owner = len(wrappers) - 1
+        stack.append((tag, path, noise, in_article or tag in ("article", "main"), owner))
     flush()
+    if len(wrappers) > 1:
+        counted = _counted(wrappers, owners, [len(b[3]) for b in blocks])
+        blocks = [b for b, owner in zip(blocks, owners) if owner in counted]
     return blocks, {path: at for at, path in paths.items()}
 
 

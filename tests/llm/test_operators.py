@@ -389,3 +389,16 @@ def test_short_blocks_of_the_content_are_kept(tag):
             f"<td>5</td></tr></table><blockquote><p>So be it.</p></blockquote><div><h3>How</h3></div><p>{long}</p></{tag}></div><nav>Home</nav>")
     want = ["Why", long.strip(), "one item", "two", "Sizes", "a", "5", "So be it.", "How", long.strip()]
     assert html_extraction.main_text(page).split("\n") == want
+
+
+@pytest.mark.parametrize("start, end", [
+    ("<div class='layout has-sidebar'>", "</div>"), ("<div id='page-with-menu'><article>", "</article></div>"), ("<section id='related-work'>", "</section>"),
+    ("<div class='social-policy'><main>", "</main></div>"), ("<form>", "</form>"), ("<form><div class=comments-open>", "</div></form>"),
+    ("<aside><main>", "</main></aside>")])
+def test_wrappers_with_words_of_noise_lose_nothing(start, end):
+    long = "A sentence of some length, with marks; it goes on. " * 8
+    noise = "<div class=sidebar>More of us</div><nav>Home</nav><form>Name <input></form><p>Well, <span class=ad>buy</span> yes.</p>"
+    comments = "<section class=comments><article>" + "So nice, thank you. " * 30 + "</article></section>"
+    found = html_extraction.main_text(f"<body>{start}<h2>Why</h2><p>{long}</p>{noise}{end}<footer>me</footer>")
+    assert found == f"Why\n{long.strip()}\nWell, yes."
+    assert html_extraction.main_text(f"<body><div><p>{long}</p></div>{comments}") == long.strip()

@@ -3,7 +3,8 @@
 Learning counts, for each language, hashed character n-grams of words and the scripts of their letters, over
 all training texts. A word's script narrows the languages that it may belong to, its n-grams score
 those, and the best path through the words, where a switch costs ``SWITCH``, labels spans. A text whose
-best path can't switch, as bounded by the best-scoring run of words for any other language, is not searched.
+best path can't switch is not searched: no run of words scores a switch more in any language than in the best one, nor
+do the best run at the start and the best run at the end together.
 
 A document gets the language of most of its letters, and their share as the score. Text that is null or has no
 letter is ``und`` with score 0, and so is all text where nothing could be learned. Ties go to the language
@@ -95,7 +96,8 @@ def viterbi(scores: np.ndarray, switch: float) -> np.ndarray:
     best = int(total.argmax())
     gain = np.cumsum(scores - scores[:, [best]], axis=0)
     low = np.minimum.accumulate(np.vstack([np.zeros(scores.shape[1]), gain[:-1]]), axis=0)
-    if (gain - low).max() <= switch:
+    # m switches make m + 1 runs: one at the start, one at the end and m - 1 between, none worth more than a switch
+    if (gain - low).max() <= switch and max(gain.max(), 0) + max((gain[-1] - low).max(), 0) <= switch:
         return np.full(len(scores), best)
     now, back, languages = scores[0].tolist(), [], range(scores.shape[1])
     for row in scores[1:].tolist():

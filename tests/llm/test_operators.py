@@ -402,3 +402,13 @@ def test_wrappers_with_words_of_noise_lose_nothing(start, end):
     found = html_extraction.main_text(f"<body>{start}<h2>Why</h2><p>{long}</p>{noise}{end}<footer>me</footer>")
     assert found == f"Why\n{long.strip()}\nWell, yes."
     assert html_extraction.main_text(f"<body><div><p>{long}</p></div>{comments}") == long.strip()
+
+
+def test_viterbi_where_two_languages_beat_the_one_between():
+    import itertools
+    assert language.viterbi(np.array([[8.0, -20, 0], [-20, 8, 0]]), 12.0).tolist() == [0, 1]
+    rng = np.random.default_rng(5)
+    for _ in range(60):  # a language between two others, as Norwegian
+        scores = np.column_stack([rng.normal(0, 4, (5, 2)), np.zeros(5)])
+        value = lambda p: sum(scores[k, x] for k, x in enumerate(p)) - 6 * sum(a != b for a, b in zip(p, p[1:]))
+        assert value(language.viterbi(scores.copy(), 6.0)) == pytest.approx(max(map(value, itertools.product(range(3), repeat=5))))

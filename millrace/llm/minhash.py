@@ -15,7 +15,7 @@ links with nothing and is kept. Rows that repeat a ``doc_id`` are one node. Othe
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -108,12 +108,12 @@ def _signatures(words: int):
     return run
 
 
-def _full_sets(words: int):
+def _full_sets(sets_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, length in slices(batch.column(1)):
                 part = batch.slice(start, length)
-                sets = shingle_sets(part.column(1), words)
+                sets = sets_of(part.column(1))
                 bounds = np.r_[0, np.cumsum([len(s) for s in sets])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(_long(np.concatenate(sets))))],
@@ -121,9 +121,9 @@ def _full_sets(words: int):
     return run
 
 
-def _sets_of(ids: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+def _sets_of(ids: DataFrame, docs: DataFrame, sets_of) -> DataFrame:
     return stored(docs.select("doc_id", "text").join(ids.hint("shuffle_hash"), "doc_id", "left_semi")
-                  .mapInArrow(_full_sets(words), "id long, shingles array<long>"), "sets")
+                  .mapInArrow(_full_sets(sets_of), "id long, shingles array<long>"), "sets")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -138,6 +138,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable), kept."""
     docs = docs.select("doc_id", "text")
     signed = stored(docs.mapInArrow(_signatures(words), SIGNATURE), "signatures")
+    return linked_by_bands(docs, signed, lambda texts: shingle_sets(texts, words), percent)
+
+
+def linked_by_bands(docs: DataFrame, signed: DataFrame, sets_of: Callable[[pa.Array], list[np.ndarray]], percent: int) -> DataFrame:
+    """Groups of near duplicates from stored signatures; ``sets_of`` gives the sorted shingle sets of texts."""
     linkable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = stored(with_group_facts(linkable, ["digest_a", "digest_b"], {"rep": F.min("doc_id")}, ["doc_id"]), "classes")
     reps = classes.where("doc_id = rep").select("rep", "n_shingles", "bands")
@@ -145,7 +150,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                                      {"members": F.count(F.lit(1))}, ["rep"], having="members > 1"), "buckets")
     pairs = _stars(shared)
     near_size = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, words)
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, sets_of)
     links = stored(confirmed(pairs.where(near_size), sets, percent), "links")
     found = stored(components(links, "a", "b", "near"), "components")
     bundles = components(pairs, "a", "b", "bundle").select(F.col("node").alias("rep"), F.col("component").alias("bundle"))

@@ -126,10 +126,10 @@ PANES_SQL = f"""WITH k AS (SELECT *, seen IS NULL OR w_end > date_trunc('millise
 
 
 def _panes(spark, sf_dir, label):
-    def build(parsed):
-        return P.late_panes(M.sales(parsed), 3600, LATENESS_DAYS * 86400)
+    def save(out):
+        return P.save_late_panes(out, f"{out}-open", 3600, LATENESS_DAYS * 86400)
 
-    return runs.read_batches(spark, replay(spark, sf_dir, label, build, by_portion=True))
+    return runs.read_batches(spark, replay(spark, sf_dir, label, M.sales, by_portion=True, save=save))
 
 
 @query(f"""{PANES_SQL} SELECT {SHOWN} AS window_start, store_id, sales, CAST(revenue AS DOUBLE) AS revenue, pane FROM p""")

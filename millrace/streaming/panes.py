@@ -1,104 +1,104 @@
 """Windows that stay open for late records and fire again for each of them.
 
-Spark's watermark decides both when a window is complete and when a late record is
-dropped. Here the two are apart: the watermark is delayed by the allowed lateness
-plus the window length, and the processor works out the undelayed moment itself.
+Spark's watermark decides both when a window is complete and when a late record is dropped; here the two
+are apart. A batch is added up by store and window before anything is shuffled, so a store with most of the
+sales costs one row for each task and window, and is merged with the windows that are still open. Only records that
+come after their window has closed are handled one by one. All of it is Spark's own aggregation and windowing.
+
+The open windows and the newest event time are stored under the number of the batch that left them. A batch
+that is replayed starts from what the batch before it left, and writes the same panes and the same state again.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from millrace.functions.scalars import exact
 
-# The processor travels with the query: executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # The codes of a pane that fired on time and of one that fired late.
 ON_TIME, LATE = "1", "2"
-PANE_SCHEMA = "start_ms long, store_id string, sales long, millionths long, pane string, pane_index long"
-
-
-class LatePanes(StatefulProcessor):
-    """State of one store and window: records and millionths so far, panes fired, anything unfired."""
-
-    def __init__(self, length_ms: int, lateness_ms: int):
-        self.length_ms, self.delay_ms = length_ms, length_ms + lateness_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("totals", "sales long, millionths long, panes long, unfired boolean")
-
-    def _panes(self, key, sales, millionths, pane: str, index) -> pd.DataFrame:
-        """One pane, or one for each element of the columns."""
-        store, start_ms = key
-        return pd.DataFrame({"start_ms": start_ms, "store_id": store, "sales": np.atleast_1d(sales),
-                             "millionths": np.atleast_1d(millionths), "pane": pane, "pane_index": np.atleast_1d(index)})
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        start_ms = key[1]
-        watermark = timerValues.getCurrentWatermarkInMs()
-        if watermark >= start_ms:  # later than allowed
-            return
-        on_time_until = start_ms + self.length_ms - self.delay_ms
-        known = self.state.get()
-        sales, millionths, panes, unfired = known or (0, 0, 0, False)
-        if known is None:
-            if watermark < on_time_until:
-                self.handle.registerTimer(on_time_until)
-            self.handle.registerTimer(start_ms)
-        if watermark < on_time_until:
-            for part in rows:
-                sales, millionths = sales + len(part), millionths + int(part["millionths"].sum())
-            self.state.update((sales, millionths, panes, True))
-            return
-        if unfired:  # rows are handled before the timers of the same batch
-            yield self._panes(key, sales, millionths, ON_TIME, panes)
-            panes += 1
-        for part in rows:
-            nth = np.arange(len(part))
-            running = millionths + part["millionths"].to_numpy().cumsum()
-            yield self._panes(key, sales + 1 + nth, running, LATE, panes + nth)
-            sales, millionths, panes = sales + len(part), int(running[-1]), panes + len(part)
-        self.state.update((sales, millionths, panes, False))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        known = self.state.get()
-        if known is None:
-            return
-        sales, millionths, panes, unfired = known
-        if unfired:
-            yield self._panes(key, sales, millionths, ON_TIME, panes)
-            self.state.update((sales, millionths, panes + 1, False))
-        if expiredTimerInfo.getExpiryTimeInMs() >= key[1]:
-            self.state.clear()
-
-    def close(self) -> None:
-        pass
-
-
-def late_panes(sales: DataFrame, length_seconds: int = 60, lateness_seconds: int = 3600) -> DataFrame:
-    """One pane when a window closes and one more, with running totals, for each late record.
-
-    State is kept by store and window, so the size of a group is bounded by what one
-    store sells in one window.
+OPEN_SCHEMA = "store_id string, start_ms long, sales long, millionths long, panes long"
+KEY = ["store_id", "start_ms"]
+
+
+def timed(sales: DataFrame, length_ms: int) -> DataFrame:
+    """What panes need of a sale: its window, its order in it, its amount in whole millionths."""
+    at = F.unix_millis("ts")
+    return sales.select("store_id", (F.floor(at / length_ms) * length_ms).cast("long").alias("start_ms"), "ts", "message_id",
+                        at.alias("at_ms"), (exact("total") * 1000000).cast("long").alias("millionths"))
+
+
+def advance(batch: DataFrame, known: DataFrame, seen_ms: int | None, newest_ms: int | None, length_ms: int,
+            lateness_ms: int) -> tuple[DataFrame, DataFrame]:
+    """The panes that a batch of ``timed`` sales fires, and the windows that stay open after it.
+
+    ``known`` are the windows that were open before it, ``seen_ms`` is the newest event time before it and
+    ``newest_ms`` after it. A record is late if its window had closed by ``seen_ms``; one whose window had closed
+    longer ago than the allowed lateness is dropped. Late records of one window fire in the order of time and message.
+    """
+    closed = F.col("start_ms") + length_ms
+    long_ago = F.lit(False) if seen_ms is None else closed + lateness_ms <= seen_ms
+    is_late = F.lit(False) if seen_ms is None else closed <= seen_ms
+    alive = batch.where(~long_ago)
+    late = alive.where(is_late)
+    sums = [F.count(F.lit(1)).alias("sales"), F.sum("millionths").alias("millionths")]
+    on_time = alive.where(~is_late).groupBy(*KEY).agg(*sums, F.lit(0).cast("long").alias("panes"))
+    again = late.groupBy(*KEY).agg(*sums, F.count(F.lit(1)).alias("panes"))
+
+    so_far = Window.partitionBy(*KEY).orderBy("ts", "message_id").rowsBetween(Window.unboundedPreceding, 0)
+    before = known.select(*KEY, *[F.col(c).alias(f"_{c}") for c in ("sales", "millionths", "panes")])
+    singly = (late.select(*KEY, F.count(F.lit(1)).over(so_far).alias("nth"), F.sum("millionths").over(so_far).alias("more"))
+              .join(before, KEY, "left")
+              .select(*KEY, (F.coalesce("_sales", F.lit(0)) + F.col("nth")).alias("sales"),
+                      (F.coalesce("_millionths", F.lit(0)) + F.col("more")).alias("millionths"), F.lit(LATE).alias("pane"),
+                      (F.coalesce("_panes", F.lit(0)) + F.col("nth") - 1).alias("pane_index")))
+
+    now = known.unionByName(on_time).unionByName(again).groupBy(*KEY).agg(
+        *[F.sum(c).alias(c) for c in ("sales", "millionths", "panes")])
+    end = -1 if newest_ms is None else newest_ms
+    fires = (F.col("panes") == 0) & (closed <= end)
+    first = now.where(fires).select(*KEY, "sales", "millionths", F.lit(ON_TIME).alias("pane"), F.col("panes").alias("pane_index"))
+    still_open = (now.withColumn("panes", F.col("panes") + fires.cast("long")).where(closed + lateness_ms > end)
+                  .select(*KEY, "sales", "millionths", "panes"))
+    panes = first.unionByName(singly).select(
+        F.timestamp_millis("start_ms").alias("window_start"), "store_id", "sales",
+        F.round(F.col("millionths") / 1000000, 2).alias("revenue"), "pane", "pane_index")
+    return panes, still_open
+
+
+def _left_by(spark: SparkSession, state: str, batch_id: int) -> tuple[DataFrame, int | None]:
+    """Open windows and newest event time after a batch; there is none before the first."""
+    if batch_id < 0:
+        return spark.createDataFrame([], OPEN_SCHEMA), None
+    seen = spark.read.schema("seen_ms long").parquet(f"{state}/seen/_batch={batch_id}").first()
+    return spark.read.schema(OPEN_SCHEMA).parquet(f"{state}/windows/_batch={batch_id}"), seen["seen_ms"]
+
+
+def save_late_panes(out: str, state: str, length_seconds: int = 60, lateness_seconds: int = 3600) -> Callable[[DataFrame, int], None]:
+    """For a stream of usable sales: one pane when a window closes and one more, with running totals, for each late record.
+
+    A window closes in the batch that brings a sale beyond its end. State is one row for each store and window that
+    may still get late records. Panes are written by batch, as ``runs.save_batch`` does.
     """
-    length_ms = length_seconds * 1000
-    timed = sales.withWatermark("ts", f"{length_seconds + lateness_seconds} seconds")
-    start = (F.floor(F.unix_millis("ts") / length_ms) * length_ms).cast("long")
-    keyed = timed.select("ts", "store_id", start.alias("start_ms"),
-                         (exact("total") * 1000000).cast("long").alias("millionths"))
-    panes = keyed.groupBy("store_id", "start_ms").transformWithStateInPandas(
-        LatePanes(length_ms, lateness_seconds * 1000), PANE_SCHEMA, "Append", "EventTime")
-    return panes.select(F.timestamp_millis("start_ms").alias("window_start"), "store_id", "sales",
-                        F.round(F.col("millionths") / 1000000, 2).alias("revenue"), "pane", "pane_index")
+    length_ms, lateness_ms = length_seconds * 1000, lateness_seconds * 1000
+
+    def save(sales: DataFrame, batch_id: int) -> None:
+        spark = sales.sparkSession
+        known, seen = _left_by(spark, state, batch_id - 1)
+        batch = timed(sales, length_ms).persist()
+        try:
+            newest = batch.agg(F.max("at_ms")).first()[0]
+            newest = max((m for m in (seen, newest) if m is not None), default=None)
+            panes, still_open = advance(batch, known, seen, newest, length_ms, lateness_ms)
+            still_open.write.mode("overwrite").parquet(f"{state}/windows/_batch={batch_id}")
+            spark.createDataFrame([(newest,)], "seen_ms long").coalesce(1).write.mode("overwrite").parquet(f"{state}/seen/_batch={batch_id}")
+            panes.write.mode("overwrite").parquet(f"{out}/_batch={batch_id}")
+        finally:
+            batch.unpersist()
+
+    return save
 
 
 def last_pane(panes: DataFrame) -> DataFrame:

@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions.scalars import money_sum
 
+# What runs in workers travels with the query: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows in a batch of rows that share a ``_sale``, the first."""
+    for batch in batches:
+        codes = batch.column(batch.schema.get_field_index("_sale")).dictionary_encode().indices
+        yield batch.take(pa.array(np.sort(np.unique(np.asarray(codes), return_index=True)[1])))
+
 
-def once_per_sale(sales: DataFrame, delay: str = "10 minutes", salts: int | None = None) -> DataFrame:
-    """Drop repeats of a producer's id. The state is bounded by the watermark delay.
+def once_per_sale(sales: DataFrame, delay: str = "10 minutes") -> DataFrame:
+    """Drop repeats of a producer's id. There is one state, an id for as long as the watermark delay.
 
-    One id may be repeated very often. Its copies are first reduced in ``salts`` groups (by
-    default one for each shuffle partition of the session), by input partition and message, so that at most that many of them meet in one task. Which
-    group a copy falls into does not matter to the result. A sale without an id repeats
-    none: its message stands for it.
+    One id may be repeated very often. Its copies are first reduced where they are read, to one for each
+    batch of rows that Spark hands over, without state and before the shuffle. Which copy stays
+    does not matter to the result. A sale without an id repeats none: its message stands for it.
     """
-    salts = salts or int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = F.struct(F.col("sale_id"), F.when(F.col("sale_id").isNull(), F.col("message_id")).alias("message"))
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), "message_id"), F.lit(salts))
-    salted = sales.withColumn("_salt", salt).withColumn("_sale", own).withWatermark("ts", delay)
-    return (salted.dropDuplicatesWithinWatermark(["_sale", "_salt"]).drop("_salt")
+    own = F.coalesce(F.concat(F.lit("s"), "sale_id"), F.concat(F.lit("m"), "message_id"))
+    named = sales.withColumn("_sale", own)
+    return (named.mapInArrow(_first_of_each, named.schema).withWatermark("ts", delay)
             .dropDuplicatesWithinWatermark(["_sale"]).drop("_sale"))
 
 

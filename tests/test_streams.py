@@ -46,7 +46,7 @@ def test_late_panes(spark):
         [message("16:30:00", "B", "1.0")],
         [message("15:02:00", "A", "8.0")],
         FLUSH]
-    out, _ = run(spark, deliveries, lambda p: P.late_panes(M.sales(p), 60, 3600))
+    out, _ = run(spark, deliveries, M.sales, lambda out: P.save_late_panes(out, f"{out}-open", 60, 3600))
     stored = runs.read_batches(spark, out)
     got = [r for r in shown(stored) if r[1] != "flush"]
     assert got == [("15:00", "A", 2, 3.0, "1"), ("15:00", "A", 3, 7.0, "2"), ("15:00", "A", 4, 11.5, "2"),
@@ -137,16 +137,57 @@ def test_kafka_records_and_back(spark):
     assert back[0]["headers"][0]["value"] == bytearray(b"2026-09-27 15:00:00")
 
 
-def test_processor_needs_no_package_on_the_executors():
-    """A Python without this package on its path can load the pickled processor."""
+def test_worker_code_needs_no_package_on_the_executors():
+    """A Python without this package on its path can load and run the pickled function."""
     import subprocess
     import sys
 
     from pyspark import cloudpickle
-    data = cloudpickle.dumps(P.LatePanes(60_000, 3_600_000)).hex()
-    code = f"import pickle; p = pickle.loads(bytes.fromhex('{data}')); print(p.delay_ms)"
+    data = cloudpickle.dumps(W._first_of_each).hex()
+    code = (f"import pickle, pyarrow as pa; f = pickle.loads(bytes.fromhex('{data}'));"
+            "print(next(f([pa.RecordBatch.from_pydict({'_sale': ['b', 'a', 'b'], 'n': [1, 2, 3]})])).column(1).to_pylist())")
     done = subprocess.run([sys.executable, "-c", code], cwd="/", capture_output=True, text=True, timeout=60)
-    assert done.stdout.strip() == "3660000", done.stderr[-300:]
+    assert done.stdout.strip() == "[1, 2]", done.stderr[-300:]
+
+
+def pane_batch(spark, rows):
+    """Sales of one store: (second, amount)."""
+    frame = spark.createDataFrame([("A", s, float(v), f"m{i}") for i, (s, v) in enumerate(rows)], "store_id string, s long, total double, message_id string")
+    return P.timed(frame.withColumn("ts", F.timestamp_seconds("s")), 60_000)
+
+
+def test_panes_of_a_hot_store_stay_in_spark(spark):
+    """Most sales of a batch are of one store; they are added up before the shuffle and no row reaches Python."""
+    known = spark.createDataFrame([("A", 0, 2, 3_000_000, 1)], P.OPEN_SCHEMA)
+    batch = pane_batch(spark, [(120 + i % 50, 1) for i in range(5000)] + [(5, 4), (7, 5)])
+    panes, still_open = P.advance(batch, known, 90_000, 200_000, 60_000, 3_600_000)
+    got = sorted((r["pane"], r["pane_index"], r["sales"], r["revenue"]) for r in panes.collect())
+    assert got == [("1", 0, 5000, 5000.0), ("2", 1, 3, 7.0), ("2", 2, 4, 12.0)]
+    assert sorted(map(tuple, still_open.collect())) == [("A", 0, 4, 12_000_000, 3), ("A", 120_000, 5000, 5_000_000_000, 1)]
+    for frame in (panes, still_open):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "partial_sum" in plan and not any(w in plan for w in ("Python", "Pandas", "Arrow"))
+
+
+def test_a_replayed_batch_of_panes_writes_the_same(spark, tmp_path):
+    save = P.save_late_panes(str(tmp_path / "out"), str(tmp_path / "open"))
+    frame = spark.createDataFrame([("A", s, 1.0, f"m{s}") for s in (1, 2, 70)], "store_id string, s long, total double, message_id string")
+    late = spark.createDataFrame([("A", 3, 1.0, "m3")], "store_id string, s long, total double, message_id string")
+    for _ in range(2):
+        save(frame.withColumn("ts", F.timestamp_seconds("s")), 0)
+    for _ in range(3):
+        save(late.withColumn("ts", F.timestamp_seconds("s")), 1)
+    got = sorted((r["pane"], r["sales"]) for r in runs.read_batches(spark, str(tmp_path / "out")).collect())
+    assert got == [("1", 2), ("2", 3)]
+
+
+def test_copies_of_a_hot_sale_are_reduced_where_they_are_read(spark):
+    """One state, and before it one row for each batch of rows."""
+    copies = spark.createDataFrame([("s1", f"m{i}") for i in range(5000)] + [(None, "m1"), (None, "m2")], "sale_id string, message_id string")
+    reduced = copies.withColumn("ts", F.lit("2024-01-01").cast("timestamp")).coalesce(2)
+    named = reduced.withColumn("_sale", F.coalesce(F.concat(F.lit("s"), "sale_id"), F.concat(F.lit("m"), "message_id")))
+    left = named.mapInArrow(W._first_of_each, named.schema)
+    assert left.count() <= 2 + 2 and {r["message_id"] for r in left.where("sale_id IS NULL").collect()} == {"m1", "m2"}
 
 
 def test_sales_without_time_or_id_are_not_lost(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 # Characters that Spark replaces by their code in the name of a partition folder. Fixed values.
@@ -11,18 +11,27 @@ NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 ROLLUP_ROWS = 1_000_000  # most rows of a rollup that is written as one file
 
 
-def partition_folder(column: str, value) -> str:
-    """The folder in which Spark keeps the rows with this value of the partition column."""
-    def escaped(text: str) -> str:
-        return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text)
+def escaped(text: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in text)
 
-    text = str(value).lower() if isinstance(value, bool) else "" if value is None else str(value)
+
+def partition_folder(spark: SparkSession, column: str, kind: T.DataType, value) -> str:
+    """The folder in which Spark keeps the rows with this value of the partition column.
+
+    Spark itself turns the value into the column's type and that into text, as its writer does: half a second past
+    midnight ends in ``.5`` and ten to the sixteenth is ``1.0E16``. A value that the type cannot hold is refused.
+    """
+    if value is None:
+        return f"{escaped(column)}={NULL_FOLDER}"
+    text = spark.range(1).select(F.lit(value).try_cast(kind).cast("string")).first()[0]
+    if text is None:
+        raise ValueError(f"no partition of {column} ({kind.simpleString()}) can be {value!r}")
     return f"{escaped(column)}={escaped(text) or NULL_FOLDER}"
 
 
 def only_partition(df: DataFrame, column: str, value) -> DataFrame:
     """The same rows; one that belongs to another partition fails the job."""
-    belongs = F.col(column).eqNullSafe(F.lit(value))
+    belongs = F.col(column).eqNullSafe(F.lit(value).cast(df.schema[column].dataType))
     return df.where(F.when(belongs, True).otherwise(F.raise_error(F.lit(f"a row does not belong to {column}={value}")).cast("boolean")))
 
 
@@ -41,8 +50,8 @@ def replace_partition(df: DataFrame, path: str, column: str, value) -> None:
     dynamic partition overwrite would leave the old rows. Rows of other partitions are refused.
     Readers may see the gap between delete and write; ``VersionedTable`` has none.
     """
-    (only_partition(df, column, value).drop(column)
-     .write.mode("overwrite").parquet(f"{path}/{partition_folder(column, value)}"))
+    folder = partition_folder(df.sparkSession, column, df.schema[column].dataType, value)
+    only_partition(df, column, value).drop(column).write.mode("overwrite").parquet(f"{path}/{folder}")
 
 
 def write_run_errors(df: DataFrame, root: str, run: str) -> None:

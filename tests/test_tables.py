@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,74 @@ def test_insert_touches_only_its_partitions(spark):
     assert held.log().where(F.col("version") == number).count() == 2
 
 
+def test_insert_reads_no_old_file(spark, tmp_path):
+    held = VersionedTable(spark, str(tmp_path / "t"), "day")
+    held.create(_rows(spark), T0)
+    kept = {p: p.read_bytes() for p in (tmp_path / "t" / "_version=1").rglob("*.parquet")}
+    for p in kept:
+        p.write_bytes(b"not a Parquet file")
+    held.insert(spark.createDataFrame([(9, D2, 2.0), (10, D1, 2.0)], "id long, day date, v double"), T1)
+    held.insert(spark.createDataFrame([(2.5, D2, 11)], "v double, day date, id long"), T2)
+    for p, data in kept.items():
+        p.write_bytes(data)
+        (p.parent / f".{p.name}.crc").unlink(missing_ok=True)
+    assert _ids(held.latest()) == [1, 2, 3, 4, 9, 10, 11] and _ids(held.as_of(T1)) == [1, 2, 3, 4, 9, 10]
+    held.delete_where(F.col("v") == 2.0, T2)
+    assert _ids(held.latest()) == [1, 2, 3, 4, 11]
+    with pytest.raises(ValueError, match="columns"):
+        held.insert(spark.createDataFrame([(1,)], "id long"), T2)
+
+
+def test_restoring_a_day_of_several_folders_and_compacting_it(spark):
+    held = _held(spark)
+    held.insert(spark.createDataFrame([(9, D1, 2.0)], "id long, day date, v double"), T1)
+    held.replace_partition(D1, _rows(spark).limit(0), T2)
+    number = held.restore_partition(D1, T1, T2)
+    assert _ids(held.latest()) == [1, 2, 3, 4, 9]
+    assert held.log().where(F.col("version") == number).count() == 2
+    number = held.compact_partition(D1, T2)
+    assert _ids(held.latest()) == [1, 2, 3, 4, 9] and held.log().where(F.col("version") == number).count() == 1
+    held.restore_version(2, T2)
+    assert _ids(held.latest()) == [1, 2, 3, 4, 9]
+
+
+TYPED = [("timestamp", dt.datetime(2024, 1, 1, 0, 0, 0, 500000), dt.datetime(2024, 1, 1)), ("timestamp_ntz", dt.datetime(2024, 1, 1, 1, 2, 3, 120000), dt.datetime(2024, 1, 2)),
+         ("double", 1e16, 0.1), ("float", 0.5, 3e-7), ("decimal(20,3)", Decimal("12.500"), Decimal("-7.000")), ("date", D1, D2), ("long", 2 ** 60, -1),
+         ("string", "1e16", "x y/z"), ("boolean", True, False)]
+
+
+@pytest.mark.parametrize("kind,value,other", TYPED, ids=[k for k, _, _ in TYPED])
+def test_partitions_by_any_type(spark, tmp_path, kind, value, other):
+    schema = f"k {kind}, v int"
+    rows = spark.createDataFrame([(value, 1), (value, 2), (other, 3), (None, 4)], schema)
+    fresh, path = spark.createDataFrame([(value, 9)], schema), str(tmp_path / "plain")
+    rows.write.partitionBy("k").parquet(path)
+
+    def plain():
+        return sorted(r["v"] for r in spark.read.schema(schema).option("basePath", path).parquet(path).collect())
+
+    writes.replace_partition(fresh, path, "k", value)
+    assert plain() == [3, 4, 9]
+    writes.replace_partition(rows.limit(0), path, "k", other)
+    assert plain() == [4, 9]
+
+    held = VersionedTable(spark, str(tmp_path / "held"), "k")
+
+    def values():
+        return sorted(r["v"] for r in held.latest().collect())
+
+    held.create(rows, T0)
+    held.replace_partition(value, fresh, T1)
+    assert values() == [3, 4, 9]
+    held.insert(spark.createDataFrame([(other, 5)], schema), T1)
+    held.delete_where(F.col("k") == F.lit(value).cast(kind), T1)
+    assert values() == [3, 4, 5]
+    held.restore_partition(value, T0, T2)
+    held.replace_partition(other, rows.limit(0), T2)
+    assert values() == [1, 2, 4]
+    assert sorted(r["v"] for r in held.latest().where(F.col("k") == F.lit(value).cast(kind)).collect()) == [1, 2]
+
+
 def test_dropped_column_stays_in_earlier_versions(spark):
     held = _held(spark)
     held.drop_column("v", T1)

@@ -6,8 +6,9 @@ vector comparison; a prefix scan over the blocks of a file carries the end of th
 number of documents into the next block, so a document may reach over any number of blocks.
 
 Null and empty texts are documents of no tokens. Tokens after the last separator are one more document.
-An empty file has no documents. Files are Spark binary values, so up to 2 GB; ``write_flat`` starts a new
-file after ``records`` documents.
+An empty file has no documents. ``write_flat`` starts a new file after some megabytes, at the end of a document, so
+that a file is larger only where one document is; a file is one Spark binary value, 2 GB at most. Columns other than
+the text are ignored, and an empty table gives no files with tokens and an empty result.
 """
 
 from __future__ import annotations
@@ -23,13 +24,14 @@ from millrace.llm.common import slices, stored, table
 from millrace.llm.tokens import encoder, tokenizer_path
 from millrace.session import scratch_path
 
-SEPARATOR, TOKEN_BYTES, BLOCK_BYTES, RECORDS = 49407, 2, 1 << 20, 20_000
+SEPARATOR, TOKEN_BYTES, BLOCK_BYTES = 49407, 2, 1 << 20
+RECORD_BYTES, RECORDS = 1 << 19, 8  # bytes of documents written as one record, records of a file
 
 
 def write_flat(docs: DataFrame, target: str, separator: int = SEPARATOR, path: str | None = None,
-               records: int = RECORDS) -> None:
-    """Writes the ids of each text and the separator with Spark's text writer: a row's bytes are the ids,
-    and the line separator is the separator's bytes."""
+               record_bytes: int = RECORD_BYTES, records: int = RECORDS) -> None:
+    """Writes the ids of each text and the separator with Spark's text writer: a row's bytes are the ids of some
+    documents with separators between them, and the line separator is the separator's bytes."""
     path = tokenizer_path(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,10 +39,13 @@ def write_flat(docs: DataFrame, target: str, separator: int = SEPARATOR, path: s
         for batch in batches:
             for first, length in slices(batch.column(0)):
                 ids, bounds = encode.ids(batch.column(0).slice(first, length))
-                offsets = pa.array((bounds * TOKEN_BYTES), pa.int32())
+                flat = np.insert(ids, bounds[1:], separator).astype("<u2")
+                ends = (bounds[1:] + np.arange(1, len(bounds))) * TOKEN_BYTES  # of each document with its separator
+                last = np.flatnonzero(np.diff(ends // record_bytes, append=-1))  # documents that end a record
+                begins = np.r_[0, ends[last[:-1]]]
+                raw = flat.tobytes()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, offsets.buffers()[1], pa.py_buffer(ids.astype("<u2").tobytes())])],
-                    names=["ids"])
+                    [pa.array([raw[a:b - TOKEN_BYTES] for a, b in zip(begins.tolist(), ends[last].tolist())], pa.binary())], names=["ids"])
 
     (docs.select("text").mapInArrow(run, "ids binary").select(F.col("ids").cast("string").alias("value"))
      .write.option("encoding", "ISO-8859-1").option("maxRecordsPerFile", records)

@@ -30,8 +30,9 @@ FEATURES, LEAST_TEXTS, SIGNIFICANCE, ROUNDS, PENALTY = 4096, 3, 4.0, 40, 1.0
 
 def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of all words in a row and how many each word has."""
-    points = np.frombuffer("".join(f"\x02{w.lower()}\x03" for w in words).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
-    ends = np.flatnonzero(points == 3)
+    marked = [f"\x02{w.lower()}\x03" for w in words]  # a word may hold such characters itself: ends follow from lengths
+    points = np.frombuffer("".join(marked).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+    ends = np.cumsum(np.fromiter(map(len, marked), np.int64, len(marked))) - 1
     starts = np.r_[0, ends[:-1] + 1] if len(ends) else ends
     left = np.repeat(ends, ends - starts + 1) - np.arange(len(points)) + 1  # characters to the word's end
     word = np.repeat(np.arange(len(words)), ends - starts + 1)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from millrace.functions.scalars import money_sum
-from millrace.session import shared_root
 
 
 def count_and_sum(df: DataFrame, by: str | Column, amount: str) -> DataFrame:
@@ -62,23 +61,33 @@ def trailing_mean(daily: DataFrame, series: list[str], day: str, value: str,
     return daily.withColumn(alias, F.avg(value).over(frame))
 
 
+def range_number(value: str, bounds: list) -> Column:
+    """How many of the sorted ``bounds`` are at most the value, by a binary search."""
+    if not bounds:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << k) for k in range(len(bounds).bit_length() - 1, -1, -1)])
+    array = F.array(*[F.lit(b) for b in bounds])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(bounds)) & (F.element_at(array, F.least(at + step, F.lit(len(bounds)))) <= F.col(value)), at + step).otherwise(at))
+
+
 def ranked_values(df: DataFrame, by: list[str], value: str) -> DataFrame:
     """One row for each distinct value of a group: ``copies``, ``before`` (rows with a
     smaller value) and ``group_rows``.
 
-    The distinct values are range-partitioned, so that a hot group is spread over many
-    tasks, and the number of rows in earlier ranges is added to the position inside the
-    range. The ranges are checkpointed: both reads below must see the same ones even
-    when a task is redone.
+    The distinct values, numbers or times, are cut into ranges, so that a hot group is spread over
+    many tasks, and the number of rows in earlier ranges is added to the position inside the
+    range. Where ranges begin is fixed beforehand, by quantiles of all distinct values: every
+    read and every task that is redone sees the same ranges, and nothing has to be stored.
     """
-    shared_root(df.sparkSession)
     # the keys as one struct: equal also where a key is NULL, and one partitioning serves
     # the window and the join
     group = F.struct(*by).alias("_group")
     counts = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
               .agg(F.count(F.lit(1)).alias("copies")))
-    ranges = (counts.repartitionByRange(*by, value)
-              .select(group, value, "copies", F.spark_partition_id().alias("_range")).checkpoint())
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = counts.agg(F.percentile_approx(value, [k / n for k in range(1, n)] or [0.5], 10 * n)).first()[0]
+    ranges = counts.select(group, value, "copies", range_number(value, sorted({c for c in cuts or [] if c == c})).alias("_range"))
     earlier_ranges = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (ranges.groupBy("_group", "_range").agg(F.sum("copies").alias("_rows"))
                .withColumn("_offset", F.coalesce(F.sum("_rows").over(earlier_ranges), F.lit(0)))

@@ -122,9 +122,13 @@ def check_log(report: DataFrame, at: Column) -> DataFrame:
 
 
 def red_alerts(log: DataFrame, window: str = "5 minutes", delay: str = "5 minutes") -> DataFrame:
-    """Signals that were RED in a window, batch or stream; a stream waits ``delay`` for late entries."""
+    """Signals that were RED in a window, batch or stream; a stream waits ``delay`` for late entries.
+
+    Every entry moves the watermark. The condition names the time, since Spark would move one that doesn't
+    below the watermark, and then windows would close only when the next RED entry comes.
+    """
     return ((log.withWatermark("ts", delay) if log.isStreaming else log)
-            .where(F.col("status") == "RED")
+            .where(F.when(F.col("ts").isNotNull(), F.col("status") == "RED"))
             .groupBy(F.window("ts", window).alias("w"), "signal").agg(F.count(F.lit(1)).alias("reds"))
             .where("reds > 0").select(F.col("w.start").alias("window_start"), "signal", "reds"))
 

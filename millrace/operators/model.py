@@ -77,10 +77,10 @@ def fit_ridge(train: DataFrame, numeric: list[str], category: str | None, label:
 
 
 def fit_boosted(train: DataFrame, numeric: list[str], category: str | None, label: str,
-                rounds: int = 100, seed: int = 7) -> PipelineModel:
-    """Boosted trees of depth three with step 0.1."""
+                rounds: int = 100, depth: int = 3, bins: int = 32, seed: int = 7) -> PipelineModel:
+    """Boosted trees with step 0.1. A number is cut at one of ``bins`` places, between all values where there are no more."""
     facts = training_facts(train, numeric, category, label)
-    trees = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, stepSize=0.1, maxDepth=3,
+    trees = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, stepSize=0.1, maxDepth=depth, maxBins=bins,
                          seed=seed, checkpointInterval=10)
     return Pipeline(stages=[*feature_stages(facts, category), trees]).fit(train)
 

@@ -1,4 +1,4 @@
-"""How many logical bytes a scan would read, what that is billed and what it costs.
+"""How many logical bytes a scan would read.
 
 Widths follow the published pricing rule of hosted warehouses: numbers and times
 8 bytes, decimals 16, booleans 1, text 2 plus its UTF-8 length, NULL nothing.
@@ -8,12 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-MIB = 1 << 20
-TIB = 1 << 40
-# Fixed values of the price list.
-USD_PER_TIB = 6.25
-MIN_BILLED_MB = 10
-
 
 def value_width(name: str, data_type: T.DataType) -> Column:
     """Bytes of one value as a column expression; a nested value counts what it holds."""
@@ -72,20 +66,6 @@ def bytes_by_column(df: DataFrame) -> DataFrame:
     return one.select(F.inline(pairs))
 
 
-def billed_mb(scan_bytes: Column) -> Column:
-    """Whole MB, at least ten for each table read."""
-    return F.greatest(F.lit(MIN_BILLED_MB), F.ceil(scan_bytes / F.lit(MIB))).cast("long")
-
-
-def price_usd(mb: Column) -> Column:
-    return mb * F.lit(MIB) / F.lit(TIB) * F.lit(USD_PER_TIB)
-
-
-def monthly_price_usd(mb: Column, every_minutes: int, days: int = 30) -> Column:
-    """Cost of running the same query every few minutes for a month."""
-    return price_usd(mb) * F.lit(days * 24 * 60 // every_minutes)
-
-
 def stored_file_bytes(spark, *paths: str) -> DataFrame:
     """(file_path, file_bytes) of stored files; only metadata is read."""
     return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))

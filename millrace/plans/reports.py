@@ -57,45 +57,81 @@ def o3_ridge_one_feature(spark, sf_dir):
                                  "slope double, intercept double")
 
 
-SPLIT_SQL = """(SELECT l_quantity AS x, l_extendedprice AS y,
+SPLIT_SQL = """(SELECT l_quantity AS x, l_discount AS z, l_extendedprice AS y,
     ('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey)), 1, 8))::BIGINT % 10 < 8 AS train FROM lineitem)"""
 
 
+def _split(spark, sf_dir, label):
+    """Train and test rows; the split is computed once and stored, however many passes read it."""
+    path = scratch_path(spark, label)
+    train, test = model.hash_split(_items(spark, sf_dir), KEY)
+    train.write.parquet(f"{path}/train")
+    test.write.parquet(f"{path}/test")
+    return spark.read.schema(train.schema).parquet(f"{path}/train"), spark.read.schema(test.schema).parquet(f"{path}/test")
+
+
 def _error(train, test, fit, numeric, category):
     return model.mean_absolute_error(fit(train, numeric, category, LABEL).transform(test), LABEL).first()
 
 
-@query(f"""WITH s AS (SELECT avg(x) AS m, stddev_pop(x) AS sd, avg(y) AS my, count(*) AS n FROM {SPLIT_SQL} WHERE train),
-                b AS (SELECT sum((x - m) / sd * (y - my)) / (max(n) + 1) AS slope FROM {SPLIT_SQL}, s WHERE train)
-           SELECT count(*) AS n, round(avg(abs(y - my - slope * (x - m) / sd)), 3) AS mae, TRUE AS all_columns_near
+# Two numbers scaled by their deviations; the normal equations of the penalised fit are solved by hand.
+@query(f"""WITH s AS (SELECT avg(x) AS m, stddev_pop(x) AS sd, avg(z) AS mz, stddev_pop(z) AS sz, avg(y) AS my FROM {SPLIT_SQL} WHERE train),
+                b AS (SELECT sum((x - m) / sd * (x - m) / sd) + 1 AS a11, sum((x - m) / sd * (z - mz) / sz) AS a12, sum((z - mz) / sz * (z - mz) / sz) + 1 AS a22,
+                             sum((x - m) / sd * (y - my)) AS c1, sum((z - mz) / sz * (y - my)) AS c2 FROM {SPLIT_SQL}, s WHERE train)
+           SELECT count(*) AS n, round(avg(abs(y - my - c1 / a11 * (x - m) / sd)), 3) AS mae,
+                  round(avg(abs(y - my - (c1 * a22 - c2 * a12) / (a11 * a22 - a12 * a12) * (x - m) / sd
+                                - (c2 * a11 - c1 * a12) / (a11 * a22 - a12 * a12) * (z - mz) / sz)), 3) AS mae_of_two
            FROM {SPLIT_SQL}, s, b WHERE NOT train""")
 def o3_o5_ridge_error(spark, sf_dir):
-    """Error on the test rows of the fit on one number, and whether that of all columns is within five hundredths of it."""
-    train, test = model.hash_split(_items(spark, sf_dir), KEY)
+    """Error on the test rows of the fits on one number and on two. Both read the split that the first stored."""
+    train, test = _split(spark, sf_dir, "o3")
     one = _error(train, test, model.fit_ridge, ["l_quantity"], None)
-    every = _error(train, test, model.fit_ridge, NUMERIC, CATEGORY)
-    return spark.createDataFrame([(one["n"], round(one["mae"], 3), every["mae"] <= 1.05 * one["mae"])],
-                                 "n long, mae double, all_columns_near boolean")
+    two = _error(train, test, model.fit_ridge, ["l_quantity", "l_discount"], None)
+    return spark.createDataFrame([(one["n"], round(one["mae"], 3), round(two["mae"], 3))], "n long, mae double, mae_of_two double")
+
 
+# One round of boosting with one cut, over all cuts between neighbouring values: the one whose sides' sums explain most.
+ROUND_SQL = f"""v AS (SELECT x, count(*) AS n, sum(y) AS total FROM {SPLIT_SQL} WHERE train GROUP BY x),
+    w AS (SELECT x, lead(x) OVER o AS above, sum(n) OVER o AS n, sum(total) OVER o AS total, sum(n) OVER () AS all_n, sum(total) OVER () AS all_total
+          FROM v WINDOW o AS (ORDER BY x)),
+    cut AS (SELECT x AS low_side_to, above AS high_side_from, total / n AS low_value, (all_total - total) / (all_n - n) AS high_value
+            FROM w WHERE above IS NOT NULL
+            ORDER BY total * total / n + (all_total - total) * (all_total - total) / (all_n - n) DESC, x LIMIT 1)"""
 
-@query(f"""SELECT count(*) FILTER (NOT train) AS n, round(avg(abs(y - my)) FILTER (NOT train), 3) AS error_of_mean,
-                  TRUE AS trees_fit_better, TRUE AS trees_near_or_better
-           FROM {SPLIT_SQL}, (SELECT avg(y) AS my FROM {SPLIT_SQL} WHERE train)""")
+
+@query(f"""WITH {ROUND_SQL}
+           SELECT count(*) AS n, round(avg(abs(y - (SELECT avg(y) FROM {SPLIT_SQL} WHERE train))), 3) AS error_of_mean, low_side_to, high_side_from,
+                  round(low_value, 3) AS low_value, round(high_value, 3) AS high_value,
+                  round(avg(abs(y - CASE WHEN x <= low_side_to THEN low_value ELSE high_value END)), 3) AS mae
+           FROM {SPLIT_SQL}, cut WHERE NOT train GROUP BY low_side_to, high_side_from, low_value, high_value""")
 def o4_o5_boosted_error(spark, sf_dir):
-    """Test error of the train rows' mean, and how the trees compare with it.
+    """One round of boosting with one cut on one number: where it cuts, the values of both sides and the error on the test rows."""
+    shared_root(spark)  # tree checkpoints
+    train, test = _split(spark, sf_dir, "o4")
+    fitted = model.fit_boosted(train, ["l_quantity"], None, LABEL, rounds=1, depth=1, bins=128)
+    sides = (fitted.transform(train).groupBy("prediction").agg(F.min("l_quantity").alias("low"), F.max("l_quantity").alias("high"))
+             .orderBy("low").collect())
+    mean = train.agg(F.avg(LABEL)).first()[0]
+    flat = test.agg(F.avg(F.abs(F.col(LABEL) - F.lit(mean)))).first()[0]
+    error = model.mean_absolute_error(fitted.transform(test), LABEL).first()
+    return spark.createDataFrame(
+        [(error["n"], round(flat, 3), sides[0]["high"], sides[-1]["low"], round(sides[0]["prediction"], 3), round(sides[-1]["prediction"], 3), round(error["mae"], 3))],
+        "n long, error_of_mean double, low_side_to double, high_side_from double, low_value double, high_value double, mae double")
+
+
+@query()
+def o4_boosted_trees(spark, sf_dir):
+    """A hundred trees on all columns: squared error on the train rows of their mean and of the trees, and the error on the test rows.
 
-    Boosting squared errors must leave a smaller squared error on the train rows than their mean does. On the
-    test rows it need not: these prices hardly depend on the columns, so there it must be near or better.
+    SQL cannot grow trees; tests compare the errors, and the first round has its SQL above.
     """
-    shared_root(spark)  # tree checkpoints
-    train, test = model.hash_split(_items(spark, sf_dir), KEY)
+    shared_root(spark)
+    train, test = _split(spark, sf_dir, "o4-trees")
     fitted = model.fit_boosted(train, NUMERIC, CATEGORY, LABEL)
     miss = F.col(LABEL) - F.col("prediction")
-    mean, spread, left = fitted.transform(train).agg(F.avg(LABEL), F.var_pop(LABEL), F.avg(miss * miss)).first()
-    flat = test.agg(F.avg(F.abs(F.col(LABEL) - F.lit(mean)))).first()[0]
     trees = model.mean_absolute_error(fitted.transform(test), LABEL).first()
-    return spark.createDataFrame([(trees["n"], round(flat, 3), left < spread, trees["mae"] <= 1.05 * flat)],
-                                 "n long, error_of_mean double, trees_fit_better boolean, trees_near_or_better boolean")
+    spread, left = fitted.transform(train).agg(F.var_pop(LABEL), F.avg(miss * miss)).first()
+    return spark.createDataFrame([(trees["n"], spread, left, trees["mae"])], "n long, spread_of_train double, left_of_train double, mae double")
 
 
 # The fit on one number, in SQL, and what it predicts for every row.
@@ -228,24 +264,43 @@ def p5_skewed_stages(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- request log and quotes
-@query("""SELECT CASE WHEN event_type <> 'error' THEN CASE user_id % 2 WHEN 0 THEN 'v1' ELSE 'v2' END END AS version,
-                 CASE WHEN event_type <> 'error' THEN 'pod-' || CAST(user_id % 5 AS VARCHAR) END AS pod,
-                 count(*) FILTER (WHERE event_type <> 'error') AS answered, count(*) FILTER (WHERE event_type = 'error') AS failed,
-                 avg(CASE WHEN event_type <> 'error' THEN CAST(regexp_extract(props, '[0-9]+') AS BIGINT) END) AS mean_ms,
-                 coalesce(max(CASE WHEN event_type <> 'error' THEN CAST(regexp_extract(props, '[0-9]+') AS BIGINT) END), 0) AS max_ms
-          FROM events GROUP BY 1, 2""")
+# Some lines are cut off, some are none at all.
+LOG_SQL = """(SELECT *, CASE WHEN event_id % 103 = 11 THEN 'rejected' WHEN event_id % 107 = 13 THEN 'rejected'
+              WHEN event_type = 'error' THEN 'failed' ELSE 'answered' END AS ending FROM events)"""
+
+
+@query(f"""SELECT CASE WHEN ending = 'answered' THEN CASE user_id % 2 WHEN 0 THEN 'v1' ELSE 'v2' END END AS version,
+                 CASE WHEN ending = 'answered' THEN 'pod-' || CAST(user_id % 5 AS VARCHAR) END AS pod,
+                 count(*) FILTER (WHERE ending = 'answered') AS answered, count(*) FILTER (WHERE ending = 'failed') AS failed,
+                 count(*) FILTER (WHERE ending = 'rejected') AS rejected,
+                 avg(CASE WHEN ending = 'answered' THEN CAST(regexp_extract(props, '[0-9]+') AS BIGINT) END) AS mean_ms,
+                 coalesce(max(CASE WHEN ending = 'answered' THEN CAST(regexp_extract(props, '[0-9]+') AS BIGINT) END), 0) AS max_ms
+          FROM {LOG_SQL} GROUP BY 1, 2""")
 def q1_request_log(spark, sf_dir):
-    path = scratch_path(spark, "q1")
-    clock, user = F.date_format("ts", "HH:mm:ss"), F.col("user_id")
-    version = F.when(user % 2 == 0, "v1").otherwise("v2")
-    (table(spark, sf_dir, "events").select(
-        F.when(F.col("event_type") == "error", F.concat(clock, F.lit("  ERR  503")))
-         .otherwise(F.concat(clock, F.lit("  200  "), version, F.lit(" pod-"), (user % 5).cast("string"), F.lit(" "),
-                             F.regexp_extract("props", "[0-9]+", 0), F.lit("ms"))).alias("value")).write.text(path))
-    return (request_log.by_pod(request_log.parse_requests(spark.read.text(path)))
+    """Answers by pod; failures and lines that are no requests are counted too, so no line is lost."""
+    return (request_log.by_pod(request_log.parse_requests(_request_lines(spark, sf_dir, "q1")))
             .withColumn("max_ms", F.coalesce("max_ms", F.lit(0).cast("long"))))
 
 
+@query(f"""SELECT CASE WHEN event_id % 103 = 11 THEN strftime(ts, '%H:%M:%S') || '  200  v' ELSE '-- rotated ' || event_type END AS rejected,
+                  count(*) AS times FROM {LOG_SQL} WHERE ending = 'rejected' GROUP BY 1""")
+def q1_request_dead_letters(spark, sf_dir):
+    return request_log.dead_letters(request_log.parse_requests(_request_lines(spark, sf_dir, "q1-dead")))
+
+
+def _request_lines(spark, sf_dir, label):
+    path = scratch_path(spark, label)
+    clock, user, event = F.date_format("ts", "HH:mm:ss"), F.col("user_id"), F.col("event_id")
+    version = F.when(user % 2 == 0, "v1").otherwise("v2")
+    answer = F.concat(clock, F.lit("  200  "), version, F.lit(" pod-"), (user % 5).cast("string"), F.lit(" "),
+                      F.regexp_extract("props", "[0-9]+", 0), F.lit("ms"))
+    line = (F.when(event % 103 == 11, F.concat(clock, F.lit("  200  v")))
+            .when(event % 107 == 13, F.concat(F.lit("-- rotated "), F.col("event_type")))
+            .when(F.col("event_type") == "error", F.concat(clock, F.lit("  ERR  503"))).otherwise(answer))
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    return spark.read.text(path)
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey,
           CAST(3.00 + 0.85 * (abs(l_partkey - l_suppkey) % 40 + 1) AS DOUBLE) AS quote_v1,
           CAST(3.25 + 0.85 * (abs(l_partkey - l_suppkey) % 40 + 1) AS DOUBLE) AS quote_v2 FROM lineitem""")

@@ -14,7 +14,7 @@ LATENESS_DAYS = 4
 FEED_SQL = """(
   SELECT event_id, CASE WHEN event_id % 223 <> 5 AND event_id % 229 <> 7 THEN e.ts END AS ts, event_type AS store_id,
          CASE WHEN event_id % 227 <> 9 THEN 'S-' || CAST(event_id AS VARCHAR) END AS sale_id, copy,
-         CASE WHEN event_id % 211 = 0 THEN '"$3.49"' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS total,
+         CASE WHEN event_id % 211 = 0 THEN '"12,50"' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS total,
          CASE WHEN event_id % 211 <> 0 AND event_id % 223 <> 5 AND event_id % 229 <> 7 THEN value END AS amount,
          CAST(floor((epoch_us(e.ts) // 1000 + CASE event_id % 97 WHEN 0 THEN 259200000 WHEN 1 THEN 1036800000 ELSE 0 END
               - 1704067200000) / 864000000) AS BIGINT) AS portion
@@ -32,7 +32,7 @@ def feed(spark, sf_dir, copy_days=0):
     late = F.when(event % 97 == 0, 259200000).when(event % 97 == 1, 1036800000).otherwise(0)
     at = F.unix_millis(F.col("ts").cast("timestamp")) + late + F.col("copy") * (copy_days * 86400000)
     time = F.when(event % 223 == 5, "soon").when(event % 229 != 7, F.col("ts").cast("string"))
-    total = F.when(event % 211 == 0, '"$3.49"').otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
+    total = F.when(event % 211 == 0, '"12,50"').otherwise(F.col("value").cast("decimal(18,2)").cast("string"))
     return (table(spark, sf_dir, "events").withColumn("copy", F.explode(copies)).select(
         F.concat(F.lit('{"store_id": "'), F.col("event_type"), F.lit('", "lane": '), (event % 9).cast("string"),
                  F.lit(', "total": '), total, F.lit("}")).alias("body"),
@@ -158,7 +158,7 @@ def _both_sinks(out):
 
 
 @query(f"""SELECT {BODY_SQL} AS body, 'M-' || CAST(event_id AS VARCHAR) || '-' || CAST(copy AS VARCHAR) AS message_id,
-           CASE WHEN event_id % 211 = 0 THEN 'ValueError: could not convert string to float: ''$3.49'''
+           CASE WHEN event_id % 211 = 0 THEN 'ValueError: could not convert string to float: ''12,50'''
                 ELSE 'ValueError: the event time is missing or no time' END AS error, sale_id FROM {FEED_SQL} WHERE amount IS NULL""")
 def j7_b11_dead_letters(spark, sf_dir):
     """What cannot be parsed is kept as it came, with the error among its attributes."""
@@ -191,17 +191,30 @@ def j9_windows_around_a_moment(spark, sf_dir):
            SELECT n AS input_rows, strftime(date_trunc('millisecond', newest), '%Y-%m-%d %H:%M:%S.%g') AS newest,
                   (epoch_us(newest) // 1000 - coalesce(epoch_us(max(newest) OVER (
                      ORDER BY portion ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) // 1000, 0)) / 1000 AS behind_seconds,
-                  late IS NOT NULL AS some_dropped FROM b LEFT JOIN l USING (portion)""")
+                  coalesce(late, 0) AS dropped_rows,
+                  coalesce(sum(n) OVER (ORDER BY portion ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)::BIGINT AS backlog_rows,
+                  count(*) OVER (ORDER BY portion ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS backlog_files
+           FROM b LEFT JOIN l USING (portion)""")
 def j10_lag_report(spark, sf_dir):
-    """Progress of all batches that read something; before the first, the watermark is at zero.
+    """Progress of all batches of a stream that is started after each of its deliveries, a file for each portion.
 
-    How many rows are dropped depends on how far they were added up before, so only whether any were is shown.
+    Before the first batch the watermark is at zero. Dropped rows are counted exactly, and the backlog of a batch is
+    what it had not read of all that has arrived by the end.
     """
+    inbox, out, checkpoint = (scratch_path(spark, f"j10-{n}") for n in ("in", "out", "state"))
+    everything = feed(spark, sf_dir).withColumn("portion", F.col("portion").cast("long"))
     seen = []
-    replay(spark, sf_dir, "j10", _hourly, by_portion=True, flush=False, watch=seen)
-    return runs.progress_report(spark, seen).where("input_rows > 0").select(
+    with runs.progress(spark) as progress:
+        for portion in sorted(r["portion"] for r in everything.select("portion").distinct().collect()):
+            runs.deliver(everything.where(F.col("portion") == portion).drop("portion").coalesce(1), inbox)
+            parsed = M.parse_sales(M.with_event_time(runs.watched_feed(spark, inbox)))
+            done = runs.start(W.window_totals(runs.watched_rows(M.sales(parsed)), "1 hour"), runs.save_batch(out), checkpoint)
+            done.awaitTermination()
+            seen.extend(progress.rows(done))
+    report = runs.lag_report(spark, seen, inbox, out, checkpoint, "sales")
+    return report.where("input_rows > 0").select(
         "input_rows", F.date_format("max_event_time", "yyyy-MM-dd HH:mm:ss.SSS").alias("newest"), "behind_seconds",
-        (F.col("dropped_rows") > 0).alias("some_dropped"))
+        "dropped_rows", "backlog_rows", "backlog_files")
 
 
 @query(f"""WITH h AS (SELECT w, store_id FROM (SELECT *, {HOUR} AS w FROM {FEED_SQL}) WHERE amount IS NOT NULL GROUP BY 1, 2),
@@ -234,3 +247,36 @@ def b10_stream_table_sink(spark, sf_dir):
     out = replay(spark, sf_dir, "b10", lambda parsed: M.sales(parsed).select("store_id", "total"), flush=False, save=_twice)
     return runs.read_batches(spark, out).groupBy("store_id").agg(
         F.count(F.lit(1)).alias("n"), money_sum("total").alias("revenue"))
+
+
+# ---------------------------------------------------------------- alerts over a running check log
+ALERT_SQL = f"""(SELECT e.ts, event_type AS signal, value > 150 AS red,
+    CAST(floor((epoch_us(e.ts) // 1000 + CASE event_id % 97 WHEN 0 THEN 259200000 WHEN 1 THEN 1036800000 ELSE 0 END
+         - 1704067200000) / 864000000) AS BIGINT) AS portion, time_bucket(INTERVAL 5 MINUTE, e.ts) AS w FROM events e)"""
+
+
+@query(f"""WITH seen AS (SELECT p.portion, (SELECT max(ts) FROM {ALERT_SQL} b WHERE b.portion < p.portion) AS seen
+                         FROM (SELECT DISTINCT portion FROM {ALERT_SQL}) p)
+           SELECT {SHOWN} AS window_start, signal, count(*) AS reds FROM {ALERT_SQL} JOIN seen USING (portion)
+           WHERE red AND (seen IS NULL OR w + INTERVAL 5 MINUTE > date_trunc('millisecond', seen) - INTERVAL {LATENESS_DAYS} DAY)
+           GROUP BY w, signal""")
+def k14_red_alerts_of_a_stream(spark, sf_dir):
+    """Check results arrive in portions, some three and some twelve days late; windows wait four days for them."""
+    from millrace.operators import checks
+    inbox, out, checkpoint = (scratch_path(spark, f"k14-{n}") for n in ("in", "out", "state"))
+    event, at = F.col("event_id"), F.col("ts").cast("timestamp")
+    late = F.when(event % 97 == 0, 259200000).when(event % 97 == 1, 1036800000).otherwise(0)
+    log = table(spark, sf_dir, "events").select(
+        at.alias("ts"), F.col("event_type").alias("signal"), F.when(F.col("value") > 150, "RED").otherwise("GREEN").alias("status"),
+        F.floor((F.unix_millis(at) + late - 1704067200000) / 864000000).alias("portion"))
+    first, last, newest = log.agg(F.coalesce(F.min("portion"), F.lit(0)), F.coalesce(F.max("portion"), F.lit(-1)), F.max("ts")).first()
+    portions = [log.where(F.col("portion") == p).drop("portion") for p in range(first, last + 1)]
+    if newest is not None:  # an entry long after all others closes their windows
+        portions.append(spark.range(1).select((F.lit(newest) + F.make_dt_interval(days=F.lit(60))).alias("ts"),
+                                              F.lit("end").alias("signal"), F.lit("GREEN").alias("status")))
+    for portion in portions:
+        portion.write.mode("append").parquet(inbox)
+        arriving = spark.readStream.schema("ts timestamp, signal string, status string").parquet(inbox)
+        alerts = checks.red_alerts(arriving, delay=f"{LATENESS_DAYS} days")
+        runs.start(alerts, runs.save_batch(out), checkpoint).awaitTermination()
+    return _shown(runs.read_batches(spark, out) if portions else spark.createDataFrame([], "window_start timestamp, signal string, reds long"))

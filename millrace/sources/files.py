@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import re
-from functools import reduce
-from urllib.parse import unquote
+import csv
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from millrace.operators.joins import bounded_broadcast_join
+from millrace.session import scratch_path
+
+LAYOUTS = 10_000  # most different headers of one read; more is an error, never a cut
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """CSV with a header line; without a schema the types are inferred from the data."""
@@ -15,30 +18,45 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
 
 
+def column_names(header: str) -> list[str]:
+    """The names a CSV reader takes from a header line: an empty one becomes its place, a repeated one gets it."""
+    names = next(csv.reader([header], escapechar="\\"))
+    lowered = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lowered.count(n.lower()) > 1 else n for i, n in enumerate(names)]
+
+
 def read_csv_by_name(spark: SparkSession, paths: list[str], target: T.StructType) -> DataFrame:
     """Match CSV columns to the target by header name, whatever the order of columns in each file.
 
-    A target column a file lacks becomes NULL, a column the target lacks is added as text. A pass
-    over the raw lines finds the header of every file; each distinct header is one scan of its files.
-    Without any line the result is an empty target.
+    A target column a file lacks becomes NULL, a column the target lacks is added as text. A pass over the raw lines
+    finds the header of every file and leaves (file, places of the columns) in the shared folder; then all files
+    are one scan by position, joined with that table. The driver sees the different headers, at most ``LAYOUTS``,
+    and never the names of files. Without any line the result is an empty target.
     """
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
         F.monotonically_increasing_id().alias("at")).where((F.col("block") == 0) & (F.trim("value") != ""))
-    layouts = (lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-               .groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect())
-
-    def one(files):
-        # names as a reader takes them: without escapes, and no character means a pattern
-        literal = [re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(f)) for f in files]
-        found = spark.read.option("header", True).csv(literal)
-        typed = [(F.col(f.name).cast(f.dataType) if f.name in found.columns
-                  else F.lit(None).cast(f.dataType)).alias(f.name) for f in target.fields]
-        extra = [F.col(c) for c in found.columns if c not in target.fieldNames()]
-        return found.select(*typed, *extra)
-
-    frames = [one(layout["files"]) for layout in layouts] or [spark.createDataFrame([], target)]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    path = scratch_path(spark, "headers")
+    lines.groupBy("file").agg(F.min_by("value", "at").alias("header")).write.parquet(path)
+    headers = spark.read.schema("file string, header string").parquet(path)
+    layouts = sorted(r["header"] for r in headers.select("header").distinct().limit(LAYOUTS + 1).collect())
+    if len(layouts) > LAYOUTS:
+        raise ValueError(f"more than {LAYOUTS} different headers")
+    if not layouts:
+        return spark.createDataFrame([], target)
+    names = [column_names(h) for h in layouts]
+    wanted = list(dict.fromkeys([*target.fieldNames(), *(n for found in names for n in found)]))
+    places = F.create_map(*[c for header, found in zip(layouts, names) for c in (
+        F.lit(header), F.array(*[F.lit(found.index(n) if n in found else None).cast("int") for n in wanted]))])
+    mapped = headers.select("file", F.element_at(places, F.col("header")).alias("_places"))
+
+    width = max(map(len, names))
+    by_position = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])
+    rows = spark.read.option("header", True).schema(by_position).csv(paths).select(
+        F.array(*by_position.fieldNames()).alias("_cells"), F.col("_metadata.file_path").alias("file"))
+    cells = bounded_broadcast_join(rows, mapped, "file")
+    types = {f.name: f.dataType for f in target.fields}
+    return cells.select(*[F.get("_cells", F.get("_places", i)).cast(types.get(n, T.StringType())).alias(n) for i, n in enumerate(wanted)])
 
 
 def read_partitioned(spark: SparkSession, root: str) -> DataFrame:

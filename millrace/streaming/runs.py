@@ -8,15 +8,20 @@ import threading
 from collections import defaultdict
 from collections.abc import Callable
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
+from millrace.streaming import messages as M
+
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROGRESS_SCHEMA = ("batch_id long, input_rows long, watermark timestamp, max_event_time timestamp, "
-                   "behind_seconds double, dropped_rows long, state_rows long")
+                   "behind_seconds double, dropped_rows long, state_rows long, usable_rows long, files_read long")
+LAG_SCHEMA = ("batch_id long, input_rows long, watermark timestamp, max_event_time timestamp, behind_seconds double, "
+              "dropped_rows long, state_rows long, backlog_rows long, backlog_files long")
 
 
 def save_batch(out: str) -> Callable[[DataFrame, int], None]:
@@ -86,7 +91,10 @@ def start_continuous(stream: DataFrame, save: Callable[[DataFrame, int], None],
 
 
 def progress_row(p: dict) -> tuple:
-    """Lag of a batch: how far the watermark trails the newest event, and rows dropped as late."""
+    """Lag of a batch: how far the watermark trails the newest event, and what it dropped as late.
+
+    Dropped are counted here as Spark does, after rows have been added up by task; ``lag_report`` counts the rows.
+    """
     def moment(text):
         return dt.datetime.fromisoformat(text.replace("Z", "+00:00")) if text else None
 
@@ -95,13 +103,15 @@ def progress_row(p: dict) -> tuple:
     behind = (newest - watermark).total_seconds() if watermark and newest else None
     state = p.get("stateOperators") or []
     return (p["batchId"], p["numInputRows"], watermark, newest, behind,
-            sum(s["numRowsDroppedByWatermark"] for s in state), sum(s["numRowsTotal"] for s in state))
+            sum(s["numRowsDroppedByWatermark"] for s in state), sum(s["numRowsTotal"] for s in state),
+            (p.get("observedMetrics", {}).get("usable") or {}).get("rows"), (p.get("observedMetrics", {}).get("feed") or {}).get("files"))
 
 
 class Progress(StreamingQueryListener):
     """One small row for every batch of the streams started while it listens, however many there are.
 
-    A query object itself remembers its last hundred batches only.
+    A query object itself remembers its last hundred batches only. The rows of a query that has ended
+    are handed over once and then forgotten.
     """
 
     def __init__(self):
@@ -123,7 +133,8 @@ class Progress(StreamingQueryListener):
         """All batches of a query that has ended; events come in order and the end comes last."""
         if not self._ended[str(query.runId)].wait(timeout):
             raise TimeoutError("the end of the stream was not reported")
-        return self._rows[str(query.runId)]
+        self._ended.pop(str(query.runId))
+        return self._rows.pop(str(query.runId), [])
 
 
 @contextmanager
@@ -140,6 +151,44 @@ def progress_report(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, PROGRESS_SCHEMA)
 
 
+def watched_feed(spark: SparkSession, inbox: str, files_per_batch: int = 10_000) -> DataFrame:
+    """The feed, with the number of files of each batch among its progress."""
+    feed = M.read_feed(spark, inbox, files_per_batch).select("*", F.col("_metadata.file_path").alias("_file"))
+    return feed.observe("feed", F.size(F.collect_set("_file")).alias("files")).drop("_file")
+
+
+def watched_rows(rows: DataFrame) -> DataFrame:
+    """The same rows, with their number among the progress of each batch."""
+    return rows.observe("usable", F.count(F.lit(1)).alias("rows"))
+
+
+def lag_report(spark: SparkSession, rows: list[tuple], inbox: str, out: str, checkpoint: str, counted: str) -> DataFrame:
+    """Lag, dropped rows and backlog of each batch of a watched stream that counts rows by window.
+
+    What a batch dropped are the usable rows that went neither into the windows it emitted (``counted`` holds
+    their rows) nor into those that stay open, which the state itself tells. The backlog is what has arrived by
+    now and was not read by the end of the batch.
+    """
+    def held(batch: int) -> DataFrame:
+        state = spark.read.format("statestore").option("batchId", batch).load(checkpoint)
+        return state.agg(F.lit(batch).cast("long").alias("batch"), F.sum(F.col("value")["count"]).alias("n"))
+
+    rows = sorted(rows)
+    emitted, open_rows = {}, {}
+    if rows:
+        stored = spark.read.option("basePath", out).parquet(f"{out}/_batch=*")
+        emitted = {r["_batch"]: r["n"] for r in stored.groupBy("_batch").agg(F.sum(counted).alias("n")).collect()}
+        open_rows = {r["batch"]: r["n"] for r in reduce(DataFrame.unionByName, [held(r[0]) for r in rows]).collect()}
+    arrived = spark.read.text(inbox).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("_metadata.file_path").alias("files")).first()
+    report, before, left_rows, left_files = [], 0, arrived["rows"], arrived["files"]
+    for batch, read, watermark, newest, behind, _, state_rows, usable, files in rows:
+        now = open_rows.get(batch) or 0
+        dropped = (usable or 0) - (emitted.get(batch) or 0) - now + before
+        before, left_rows, left_files = now, left_rows - read, left_files - (files or 0)
+        report.append((batch, read, watermark, newest, behind, dropped, state_rows, left_rows, left_files))
+    return spark.createDataFrame(report, LAG_SCHEMA)
+
+
 def deliver(messages: DataFrame, inbox: str) -> None:
     """Let messages arrive in the folder a feed reads."""
     messages.write.mode("append").json(inbox)

@@ -89,9 +89,10 @@ def test_request_log(spark):
     lines = spark.createDataFrame([("10:00:00  200  v1 pod-a 150ms",), ("10:00:01  200  v1 pod-a 50ms",),
                                    ("10:00:02  ERR  timeout",), ("summary: 2 answered, 1 failed",)], "value string")
     requests = request_log.parse_requests(lines)
-    assert tuple(request_log.totals(requests).first()) == (2, 1)
-    got = {r["pod"]: (r["answered"], r["failed"], r["mean_ms"], r["max_ms"]) for r in request_log.by_pod(requests).collect()}
-    assert got == {"pod-a": (2, 0, 100.0, 150), None: (0, 1, None, None)}
+    assert tuple(request_log.totals(requests).first()) == (4, 2, 1, 1)
+    got = {r["pod"]: (r["answered"], r["failed"], r["rejected"], r["mean_ms"], r["max_ms"]) for r in request_log.by_pod(requests).collect()}
+    assert got == {"pod-a": (2, 0, 0, 100.0, 150), None: (0, 1, 1, None, None)}
+    assert [tuple(r) for r in request_log.dead_letters(requests).collect()] == [("summary: 2 answered, 1 failed", 1)]
 
 
 # ---------------------------------------------------------------- model
@@ -141,6 +142,39 @@ def test_boosted_trees_beat_the_mean(spark):
     assert error["mae"] < flat
 
 
+def test_more_trees_fit_the_train_rows_better(spark):
+    frame = _frame(spark)[0]
+
+    def left(rounds):
+        fitted = model.fit_boosted(frame, ["x", "z"], "g", "y", rounds=rounds)
+        return fitted.transform(frame).agg(F.avg((F.col("y") - F.col("prediction")) ** 2)).first()[0]
+
+    spread = frame.agg(F.var_pop("y")).first()[0]
+    errors = [left(n) for n in (1, 5, 20)]
+    assert spread > errors[0] > errors[1] > errors[2]
+
+
+def test_boosting_on_the_given_table_fits_better_than_the_mean(spark):
+    from millrace.plans.reports import o4_boosted_trees
+    row = o4_boosted_trees(spark, "/root/testdata/sf0.001").first()
+    assert row["left_of_train"] < row["spread_of_train"] and row["n"] > 0
+
+
+def test_quartiles_leave_nothing_in_the_shared_folder(spark):
+    import os
+    from millrace.operators.aggregates import exclusive_quartiles
+    from millrace.session import shared_root
+
+    def files():
+        root = shared_root(spark).removeprefix("file:")
+        return {os.path.join(d, f) for d, _, names in os.walk(root) for f in names}
+
+    before = files()
+    rows = spark.range(3000).select((F.col("id") % 3).alias("g"), (F.col("id") * 37 % 1009).cast("double").alias("v"))
+    found = exclusive_quartiles(rows, ["g"], "v").collect()
+    assert len(found) == 3 and files() == before
+
+
 def test_too_many_categories_are_refused(spark, monkeypatch):
     monkeypatch.setattr(model, "MAX_CATEGORIES", 2)
     frame = spark.createDataFrame([(1.0, c, 2.0) for c in "abc"], "x double, g string, y double")

@@ -213,3 +213,39 @@ def test_sales_without_an_id_stand_for_themselves(spark, tmp_path):
     query.awaitTermination()
     assert {r["message_id"] for r in spark.table("own_ids").collect()} >= {"m0", "m1", "m2"}
     assert spark.table("own_ids").count() == 4
+
+
+def test_alerts_of_a_stream_close_without_another_red_entry(spark, tmp_path):
+    from millrace.operators import checks
+    schema = "ts timestamp, signal string, status string"
+
+    def arrive(*rows):
+        spark.createDataFrame(rows, "t string, signal string, status string").select(
+            F.col("t").cast("timestamp").alias("ts"), "signal", "status").write.mode("append").parquet(str(tmp_path / "in"))
+        log = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        runs.start(checks.red_alerts(log), runs.save_batch(str(tmp_path / "out")), str(tmp_path / "state")).awaitTermination()
+        stored = runs.read_batches(spark, str(tmp_path / "out"))
+        return sorted((r["window_start"].strftime("%H:%M"), r["signal"], r["reds"]) for r in stored.collect())
+
+    assert arrive(("2024-01-01 10:01:00", "volume", "RED"), ("2024-01-01 10:04:00", "volume", "RED"), ("2024-01-01 10:02:00", "schema", "GREEN")) == []
+    assert arrive(("2024-01-01 10:03:00", "volume", "RED"), ("2024-01-01 10:07:00", "volume", "GREEN")) == []
+    first = ("10:00", "volume", 3)
+    assert arrive(("2024-01-01 10:30:00", "schema", "GREEN")) == [first]
+    assert arrive(("2024-01-01 10:04:00", "volume", "RED")) == [first]  # too late
+    assert arrive(("2024-01-01 10:31:00", "volume", "RED"), ("2024-01-01 11:00:00", "volume", "GREEN")) == [first, ("10:30", "volume", 1)]
+
+
+def test_lag_report_counts_dropped_rows_and_backlog(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    seen = []
+    with runs.progress(spark) as progress:
+        for delivery in ([message("15:00:10")], [message("15:05:00")], [message("15:00:20", "A", f"{i}.0", message_id=f"m{i}") for i in range(40)]):
+            runs.deliver(spark.createDataFrame(delivery, M.MESSAGE_SCHEMA).coalesce(1), inbox)
+            parsed = M.parse_sales(M.with_event_time(runs.watched_feed(spark, inbox)))
+            query = runs.start(W.window_totals(runs.watched_rows(M.sales(parsed))), runs.save_batch(out), state, state_partitions=2)
+            query.awaitTermination()
+            seen += progress.rows(query)
+        assert not progress._rows and not progress._ended
+    runs.deliver(spark.createDataFrame([message("15:10:00")] * 3, M.MESSAGE_SCHEMA).coalesce(1), inbox)
+    report = runs.lag_report(spark, seen, inbox, out, state, "sales").where("input_rows > 0").orderBy("batch_id").collect()
+    assert [(r["input_rows"], r["dropped_rows"], r["backlog_rows"], r["backlog_files"]) for r in report] == [(1, 0, 44, 3), (1, 0, 43, 2), (40, 40, 3, 1)]

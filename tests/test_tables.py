@@ -214,6 +214,20 @@ def test_csv_by_name_with_several_layouts_in_one_folder(spark, tmp_path):
     assert files.read_csv_by_name(spark, [str(tmp_path / "none")], target).collect() == []
 
 
+def test_many_csv_files_of_three_layouts_are_one_scan(spark, tmp_path):
+    """Quoted cells, repeated and empty names; the plan has one scan of rows and no union, however many files there are."""
+    for i in range(300):
+        head, row = (("a,b,x", f"{i},2,q"), ("b,a", f"20,{i}"), ('"a",,A', f'{i},"u,v",w'))[i % 3]
+        (tmp_path / f"f{i}.csv").write_text(f"{head}\n{row}\n")
+    target = spark.createDataFrame([], "a int, b int").schema
+    got = files.read_csv_by_name(spark, [str(tmp_path)], target)
+    assert got.columns == ["a", "b", "a0", "_c1", "A2", "x"]
+    rows = {(r["a"], r["b"], r["x"], r["a0"], r["_c1"], r["A2"]) for r in got.collect()}
+    assert len(rows) == 300 and {(0, 2, "q", None, None, None), (1, 20, None, None, None, None), (None, None, None, "2", "u,v", "w")} <= rows
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("csv") == 1
+
+
 def test_offsets_are_bytes(spark, tmp_path):
     (tmp_path / "lines.txt").write_bytes("é,1\nab\r\nlast".encode())
     lines = files.read_text_with_offset(spark, str(tmp_path / "lines.txt"))

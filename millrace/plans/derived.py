@@ -68,10 +68,10 @@ def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 POS_SQL = """(
   SELECT event_id,
          'T-' || lpad(CAST(event_id AS VARCHAR), 9, '0') AS txn_id, event_type AS store_id,
-         CASE WHEN event_id % 101 = 7 THEN 'not-a-date' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS txn_ts,
+         CASE WHEN event_id % 101 = 7 THEN '2024-01-05 25:00:00' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS txn_ts,
          'SKU-' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS sku,
-         CASE WHEN event_id % 107 = 3 THEN '-4' ELSE regexp_extract(props, '[0-9]+') END AS qty,
-         CASE WHEN event_id % 109 = 11 THEN NULL WHEN event_id % 103 = 5 THEN 'N/A'
+         CASE WHEN event_id % 107 = 3 THEN '-17' ELSE regexp_extract(props, '[0-9]+') END AS qty,
+         CASE WHEN event_id % 109 = 11 THEN NULL WHEN event_id % 103 = 5 THEN 'twelve'
               ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS amount,
          CASE WHEN event_id % 113 = 13 AND event_id % 109 <> 11 THEN 'void' END AS surplus
   FROM events)"""
@@ -84,11 +84,11 @@ def pos_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         event,
         F.format_string("T-%09d", event).alias("txn_id"),
         F.col("event_type").alias("store_id"),
-        F.when(event % 101 == 7, "not-a-date")
+        F.when(event % 101 == 7, "2024-01-05 25:00:00")
          .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("txn_ts"),
         F.format_string("SKU-%09d", F.col("user_id")).alias("sku"),
-        F.when(event % 107 == 3, "-4").otherwise(F.regexp_extract("props", "[0-9]+", 0)).alias("qty"),
-        F.when(event % 109 == 11, F.lit(None)).when(event % 103 == 5, "N/A")
+        F.when(event % 107 == 3, "-17").otherwise(F.regexp_extract("props", "[0-9]+", 0)).alias("qty"),
+        F.when(event % 109 == 11, F.lit(None)).when(event % 103 == 5, "twelve")
          .otherwise(money("value").cast("string")).alias("amount"),
         F.when((event % 113 == 13) & (event % 109 != 11), "void").alias("surplus"))
 

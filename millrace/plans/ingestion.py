@@ -19,8 +19,8 @@ from millrace.sources.files import read_partitioned, read_text_with_offset
 AS_OF = dt.datetime(2024, 1, 31, 11, 0)
 ZONE = "America/New_York"
 MISCOUNTED = "(amount IS NULL OR surplus IS NOT NULL)"
-BAD = f"(txn_ts = 'not-a-date' OR coalesce(amount, 'N/A') = 'N/A' OR {MISCOUNTED})"
-CODE = f"CASE WHEN {MISCOUNTED} THEN 1 WHEN amount = 'N/A' THEN 0 ELSE 2 END"
+BAD = f"(txn_ts = '2024-01-05 25:00:00' OR coalesce(amount, 'twelve') = 'twelve' OR {MISCOUNTED})"
+CODE = f"CASE WHEN {MISCOUNTED} THEN 1 WHEN amount = 'twelve' THEN 0 ELSE 2 END"
 BODY = "concat_ws(',', txn_id, store_id, txn_ts, sku, qty, amount, surplus)"
 
 
@@ -36,8 +36,8 @@ def k1_skip_bad_rows(spark, sf_dir):
 @query(f"""SELECT event_id AS line_id, {BODY} AS body,
              {CODE} AS "errCode",
              CASE WHEN {MISCOUNTED} THEN 'The record does not have 6 fields.'
-                  WHEN amount = 'N/A' THEN 'Error encountered while executing ''set-type'' : Column ''amount'' cannot be converted to a ''double''.'
-                  ELSE 'Value not-a-date for column txn_ts is not in expected format yyyy-MM-dd HH:mm:ss (ecode: 2, directive: parse-as-datetime)' END AS "errMsg",
+                  WHEN amount = 'twelve' THEN 'Error encountered while executing ''set-type'' : Column ''amount'' cannot be converted to a ''double''.'
+                  ELSE 'Value 2024-01-05 25:00:00 for column txn_ts is not in expected format yyyy-MM-dd HH:mm:ss (ecode: 2, directive: parse-as-datetime)' END AS "errMsg",
              'Wrangler' AS "errStage" FROM {POS_SQL} WHERE {BAD}""")
 def k2_quarantine(spark, sf_dir):
     """The error side of a run that wrote both sides in one pass."""
@@ -98,7 +98,7 @@ def k5_idempotent_load(spark, sf_dir):
 
 
 @query(f"""SELECT count(*) AS n, CAST(sum(CAST(TRY_CAST(amount AS DOUBLE) AS DECIMAL(18,2))) AS DOUBLE) AS total,
-           count(*) FILTER (WHERE txn_ts = 'not-a-date') AS without_time,
+           count(*) FILTER (WHERE txn_ts = '2024-01-05 25:00:00') AS without_time,
            count(*) FILTER (WHERE CAST(qty AS INTEGER) < 0) AS negative FROM {POS_SQL}""")
 def k6_control_totals(spark, sf_dir):
     return _parsed(spark, sf_dir).agg(

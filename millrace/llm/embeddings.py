@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import components, lookup, stored, table, with_group_facts
 
 SAMPLE, CELL, CELLS, ROUNDS = 20_000, 512, 4096, 8  # sampled vectors, vectors a cell, most cells, k-means rounds
-BLOCK = 1024
+BLOCK, SLICE = 1024, 256  # vectors of one side of a block, vectors compared with all centres at a time
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -54,13 +54,15 @@ def _assigned(centres: np.ndarray, reach: float):
             size = np.diff(np.asarray(vectors.offsets))
             home, guests = -1 - size.astype(np.int64), [[] for _ in range(len(size))]
             usual = np.flatnonzero(size == centres.shape[1])
-            if len(usual):
-                near = _unit(np.stack([vectors[i].values.to_numpy() for i in usual.tolist()]).astype(np.float64)) @ centres.T
+            for first in range(0, len(usual), SLICE):  # products with all centres for some hundred vectors at a time
+                part = usual[first:first + SLICE]
+                near = _unit(np.stack([vectors[i].values.to_numpy() for i in part.tolist()]).astype(np.float64)) @ centres.T
                 best = near.argmax(axis=1)
-                home[usual] = best
-                gap = (near[np.arange(len(best)), best][:, None] - near) / apart[best]
+                home[part] = best
+                gap = near[np.arange(len(best)), best][:, None] - near
+                gap /= apart[best]
                 gap[np.arange(len(best)), best] = np.inf
-                for i, row in zip(usual.tolist(), gap <= reach):
+                for i, row in zip(part.tolist(), gap <= reach):
                     guests[i] = np.flatnonzero(row).tolist()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), vectors, pa.array(home, pa.int32()),
                                               pa.array(guests, pa.list_(pa.int32()))],
@@ -69,15 +71,15 @@ def _assigned(centres: np.ndarray, reach: float):
 
 
 def _blocks(placed: DataFrame) -> DataFrame:
-    """A row for each block pair that a vector takes part in: cell, kind, i, j, side."""
+    """A row for each block pair that a vector takes part in: cell, kind, i, j, side. There is a cell for each centre
+    and one for each other length of vectors."""
     cells = placed.select("rep", "copies", "vector", "home", "guests", F.posexplode(F.concat(F.array("home"), "guests")).alias("p", "cell"))
-    counts = {}  # at most two rows for each of CELLS cells and each length of vector
-    for r in cells.groupBy("cell", (F.col("p") == 0).alias("own")).agg(F.count(F.lit(1)).alias("n")).collect():
-        counts.setdefault(r["cell"], {})[r["own"]] = -(-r["n"] // BLOCK)
-    spark = placed.sparkSession
-    sizes = spark.createDataFrame([(c, n.get(True, 0), n.get(False, 0)) for c, n in counts.items()], "cell int, own int, other int")
+    many = [F.ceil(F.count_if(c) / BLOCK).cast("int") for c in (F.col("p") == 0, F.col("p") > 0)]
+    sizes = stored(cells.groupBy("cell").agg(many[0].alias("own"), many[1].alias("other")), "sizes")
     own, other = F.col("own"), F.col("other")
-    rows = cells.join(F.broadcast(sizes), "cell").withColumn(
+    few = sizes.count() <= 2 * CELLS  # unless vectors have very many lengths
+    sized = cells.join(F.broadcast(sizes), "cell") if few else lookup(cells, ["cell"], sizes, ["rep"])
+    rows = sized.withColumn(
         "b", F.pmod(F.xxhash64("rep"), F.greatest(F.when(F.col("p") == 0, own).otherwise(other), F.lit(1))).cast("int"))
     at_home = """concat(
         transform(sequence(b, own - 1), x -> named_struct('kind', 'own', 'i', b, 'j', x, 'left', true)),

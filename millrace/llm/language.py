@@ -1,8 +1,9 @@
 """Language spans of mixed text: script ranges, word scores and Viterbi with a switching penalty.
 
 Learning counts, for each language, hashed character n-grams of words and the scripts of their letters, over
-all training texts. A word's script narrows the languages that it may belong to, its n-grams score
-those, and the best path through the words, where a switch costs ``SWITCH``, labels spans. A text whose
+all training texts. A word's script narrows the languages that it may belong to: only those that write it are
+scored by its n-grams, and where one language alone writes it nothing is scored at all. Text without spaces is cut where its
+script changes. The best path through the words, where a switch costs ``SWITCH``, labels spans. A text whose
 best path can't switch is not searched: no run of words scores a switch more in any language than in the best one, nor
 do the best run at the start and the best run at the end together.
 
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 from millrace.llm.common import slices, stored, table, word_codes
 
 BUCKETS, LENGTHS = 1 << 16, (2, 3)
-SWITCH, UNLIKELY, SMOOTHING = 12.0, 8.0, 0.5  # log units: a change of language, a language of another script
+SWITCH, UNLIKELY, SMOOTHING = 12.0, 8.0, 0.5  # log units: a change of language, each of a word's first letters in another script
+TELLING = 4  # letters of a word that tell its script
 LANGUAGES = 200  # most languages that can be learned
 # First code points of blocks, with the script of each; blocks not named are "other". Fixed values.
 RANGES = [(0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"),
@@ -65,6 +67,55 @@ def word_parts(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return gram[order], np.bincount(own, minlength=len(words)), letters, script
 
 
+def script_runs(word: str) -> list[str]:
+    """The word cut where the script of its letters changes; what is no letter stays with the letters before it."""
+    if max(word, default="") < "\u0370":  # all Latin
+        return [word]
+    cuts, now = [0], None
+    for i, c in enumerate(word):
+        if c.isalpha():
+            script = _SCRIPT[np.searchsorted(_FIRST, ord(c), side="right") - 1]
+            if now is not None and script != now:
+                cuts.append(i)
+            now = script
+    return [word[a:b] for a, b in zip(cuts, [*cuts[1:], len(word)])]
+
+
+def runs_of(distinct: list[str], codes: np.ndarray, bounds: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Words cut into runs of one script: distinct runs, code of every run, bounds of the texts, word of every run."""
+    cut = [script_runs(w) for w in distinct]
+    if all(len(runs) == 1 for runs in cut):
+        return distinct, codes, bounds, np.arange(len(codes))
+    names: dict[str, int] = {}
+    flat = np.array([names.setdefault(r, len(names)) for runs in cut for r in runs], dtype=np.int64)
+    size = np.array([len(runs) for runs in cut], dtype=np.int64)
+    each = size[codes]
+    ends = np.cumsum(each)
+    at = np.arange(int(ends[-1])) + np.repeat((np.cumsum(size) - size)[codes] - (ends - each), each)
+    return list(names), flat[at], np.r_[0, ends][bounds], np.repeat(np.arange(len(codes)), each)
+
+
+def word_scores(table_: np.ndarray, may: np.ndarray, gram: np.ndarray, each: np.ndarray, letters: np.ndarray, script: np.ndarray) -> np.ndarray:
+    """Score of every word in every language. Only languages that write the word's script are scored by its n-grams;
+    all others lie below the best of them by UNLIKELY for each of the letters that tell the script."""
+    scores = np.zeros((len(each), len(table_)))
+    owner = np.repeat(np.arange(len(each)), each)
+    for s in np.unique(script[script >= 0]).tolist():
+        words, here = np.flatnonzero(script == s), np.flatnonzero(may[s])
+        if len(here) > 1:
+            own = script[owner] == s
+            place = np.zeros(len(each), np.int64)
+            place[words] = np.arange(len(words))
+            at, grams = place[owner[own]], gram[own]
+            for k in here.tolist():
+                scores[words, k] = np.bincount(at, table_[k][grams], len(words))
+        rest = np.flatnonzero(~may[s])
+        if len(rest):
+            least = scores[np.ix_(words, here)].max(axis=1) - UNLIKELY * np.minimum(letters[words], TELLING)
+            scores[np.ix_(words, rest)] = least[:, None]
+    return scores
+
+
 def _counter(languages: list[str]):
     place = {lang: i for i, lang in enumerate(languages)}
 
@@ -74,7 +125,8 @@ def _counter(languages: list[str]):
             for start, length in slices(batch.column(0)):
                 part = batch.slice(start, length)
                 distinct, codes, bounds = word_codes(part.column(0))
-                gram, each, letters, script = word_parts(distinct.to_pylist())
+                distinct, codes, bounds, _ = runs_of(distinct.to_pylist(), codes, bounds)
+                gram, each, letters, script = word_parts(distinct)
                 owner = np.repeat(np.arange(len(each)), each)
                 lang = np.repeat([place[x] for x in part.column(1).to_pylist()], np.diff(bounds))
                 for k in set(lang.tolist()):
@@ -126,10 +178,9 @@ def _labeller(languages: list[str], logs, allowed, spans: bool):
             for start, length in slices(batch.column(1), (32 << 20) // max(8, len(languages))):
                 part = batch.slice(start, length)
                 distinct, codes, bounds = word_codes(part.column(1), lower=not spans)
-                gram, each, letters, script = word_parts(distinct.to_pylist())
-                owner = np.repeat(np.arange(len(each)), each)
-                scores = np.stack([np.bincount(owner, row[gram], len(each)) for row in table_], axis=1, dtype=np.float64)
-                scores -= np.where(may[script] | (script < 0)[:, None], 0.0, UNLIKELY)
+                distinct, codes, bounds, word = runs_of(distinct.to_pylist(), codes, bounds)
+                gram, each, letters, script = word_parts(distinct)
+                scores = word_scores(table_, may, gram, each, letters, script)
                 found, shares, cut = [], [], []
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                     path = viterbi(scores[codes[a:b]], SWITCH)
@@ -142,7 +193,8 @@ def _labeller(languages: list[str], logs, allowed, spans: bool):
                         shares.append(0.0)
                     if spans:
                         edges = np.flatnonzero(np.r_[True, path[1:] != path[:-1]]) if len(path) else np.empty(0, int)
-                        cut.append([{"first_word": int(x), "words": int(y - x), "lang": languages[path[x]]}
+                        first = word[a:b] - (word[a] if b > a else 0)  # a word with two scripts belongs to both spans
+                        cut.append([{"first_word": int(first[x]), "words": int(first[y - 1] - first[x] + 1), "lang": languages[path[x]]}
                                     for x, y in zip(edges, np.r_[edges[1:], len(path)])])
                 columns = [part.column(0), pa.array(found, pa.string()), pa.array(shares, pa.float64())]
                 names = ["doc_id", "lang_pred", "score"]

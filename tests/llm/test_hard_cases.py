@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import html_extraction, mixing, packing, quality, separators, tokens, toxicity
+from millrace.llm import html_extraction, language, mixing, packing, quality, separators, tokens, toxicity
 from millrace.session import scratch_path
 
 SF, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
@@ -253,3 +253,32 @@ def test_pages_empty_and_clashing(spark):
     found = html_extraction.extracted(frame)
     assert found.columns == ["page_id", "url", "text", "n_chars"] and [r["text"] for r in found.collect()] == [LONG.strip()] * 2
     assert html_extraction.extracted(frame.limit(0)).count() == 0
+
+
+# --- languages -----------------------------------------------------------------------------------------------------
+
+def test_scripts_narrow_and_cut_text_without_spaces(spark):
+    draw = random.Random(4)
+    words = {"en": "the river runs over stones and under bridges with water".split(), "fr": "la rivière coule sous les ponts avec son eau claire".split(),
+             "el": "το ποτάμι τρέχει κάτω από γέφυρες".split(), "zh": ["河水流過石頭", "橋下有水", "我們去河邊"], "ja": ["かわのみずがながれる", "はしのしたに", "わたしはいく"]}
+    rows = [(i, " ".join(draw.choices(w, k=12)), lang) for i, (lang, w) in enumerate(list(words.items()) * 8)]
+    rows += [(100, "the river runs under bridges 河水流過石頭橋下有水かわのみずがながれるはしのしたに and over stones", None),
+             (101, "τρέχει κάτω από the river runs over stones and under bridges", None), (102, "12 !? ...", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["doc_id"]: r for r in language.labelled_languages(docs, "doc_id < 50", spans=True).where("doc_id >= 100").collect()}
+    assert [s["lang"] for s in found[100]["spans"]] == ["en", "zh", "ja", "en"]
+    assert [(s["first_word"], s["words"]) for s in found[100]["spans"]] == [(0, 5), (5, 1), (5, 1), (6, 3)]
+    assert [s["lang"] for s in found[101]["spans"]] == ["el", "en"] and found[101]["lang_pred"] == "en"
+    assert found[102]["lang_pred"] == "und"
+
+
+def test_only_languages_of_the_script_are_scored():
+    may = np.zeros((len(language.SCRIPTS), 3), bool)
+    latin, greek = language.SCRIPTS.index("latin"), language.SCRIPTS.index("greek")
+    may[latin, :2] = may[greek, 2] = True
+    table = np.full((3, language.BUCKETS), -5.0)
+    table[2] = 1e6  # would win everywhere if it were scored
+    parts = language.word_parts(["river", "ποτάμι", "12"])
+    scores = language.word_scores(table, may, *parts)
+    assert scores[0, 2] == scores[0, :2].max() - 4 * language.UNLIKELY and scores[1].tolist() == [-32.0, -32.0, 0.0] and not scores[2].any()
+    assert language.script_runs("abc漢字かなxyz1") == ["abc", "漢字", "かな", "xyz1"] and language.script_runs("été12") == ["été12"]

@@ -4,9 +4,9 @@ The first permutation places a shingle on a circle, the second is a table around
 k of the signature is the least table value seen from the shingles' places shifted by k. Texts with
 equal shingle sets form one class, found by a 128-bit digest of the set. Classes that share a band
 are candidates: first each is compared with the most central class of its bucket, the one that meets
-most others in its 24 buckets. Buckets that overlap form a bundle; where a bundle's members are not
-one component yet, those outside its main component are compared with all of its members in blocks,
-as counts of common shingles by matrix products, so that no pairs are written out and nothing that
+most others in its 24 buckets. A bucket of three or more members that are not one component yet is open, and
+open buckets that overlap form a bundle; those of its members that are outside its main component are compared with
+all of its members in blocks, as counts of common shingles by matrix products, so that no pairs are written out and nothing that
 banding found is lost. Links are confirmed on the full sets of 64-bit shingle hashes.
 
 Null or empty text has an empty set, links with nothing and keeps itself. A row without ``doc_id``
@@ -153,8 +153,7 @@ def linked_by_bands(docs: DataFrame, signed: DataFrame, sets_of: Callable[[pa.Ar
     sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, sets_of)
     links = stored(confirmed(pairs.where(near_size), sets, percent), "links")
     found = stored(components(links, "a", "b", "near"), "components")
-    bundles = components(pairs, "a", "b", "bundle").select(F.col("node").alias("rep"), F.col("component").alias("bundle"))
-    rest = _open_members(bundles, found, sets, percent)
+    rest = _open_members(_bundles(shared, found), found, sets, percent)
     if not rest.isEmpty():
         found = stored(components(links.unionByName(_block_links(rest, sets, percent)), "a", "b", "near"), "components")
     named = lookup(classes.select("doc_id", "digest_a", "digest_b", "rep", "n_shingles"), ["rep"],
@@ -175,6 +174,21 @@ def _stars(shared: DataFrame) -> DataFrame:
         F.col("pivot.n_shingles").alias("nb")).distinct(), "pairs")
 
 
+def _bundles(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(rep, bundle) of the members of open buckets; buckets that overlap form a bundle.
+
+    A bucket of two has been compared, and one whose members are one component hides no link. So texts that
+    happen to share a band with one other text join nothing, however many they are.
+    """
+    labelled = stored(shared.select("rep", "bucket").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+                      .withColumn("component", F.coalesce("component", "rep")), "bucket-components")
+    still_open = with_group_facts(labelled, ["bucket"], {
+        "low": F.min("component"), "high": F.max("component"), "first": F.min("rep"), "members": F.count(F.lit(1))},
+        ["rep"], having="low != high AND members > 2")
+    edges = stored(still_open.select(F.col("rep").alias("a"), F.col("first").alias("b")).distinct(), "bucket-edges")
+    return components(edges, "a", "b", "bundle").select(F.col("node").alias("rep"), F.col("component").alias("bundle"))
+
+
 def _open_members(bundles: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Members of bundles of three or more that are not one component: their component, the bundle's
     main one and the number of blocks that its members fill."""

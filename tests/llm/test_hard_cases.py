@@ -282,3 +282,32 @@ def test_only_languages_of_the_script_are_scored():
     scores = language.word_scores(table, may, *parts)
     assert scores[0, 2] == scores[0, :2].max() - 4 * language.UNLIKELY and scores[1].tolist() == [-32.0, -32.0, 0.0] and not scores[2].any()
     assert language.script_runs("abc漢字かなxyz1") == ["abc", "漢字", "かな", "xyz1"] and language.script_runs("été12") == ["été12"]
+
+
+# --- quality -------------------------------------------------------------------------------------------------------
+
+def test_quality_against_a_direct_fit(spark):
+    """The penalised fit as one least-squares system, and isotonic steps by the largest of least means."""
+    draw = random.Random(6)
+    good, bad = ["A tidy sentence of words, and one more.", "The garden has a wall; it is old."], ["buy buy !!!", "|| 11 11 $$ x x x"]
+    texts = [" ".join(draw.choices(good if i % 2 else bad, k=draw.randint(1, 20))) + (" x !" * draw.randint(0, 9)) for i in range(240)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    known = [(i, i % 2 if i % 11 else 1 - i % 2) for i in range(240) if i % 5]
+    got = {r["doc_id"]: r["score"] for r in quality.quality_scores(docs, spark.createDataFrame(known, "doc_id long, quality int")).collect()}
+
+    x, y = np.array([quality.text_statistics(t or "") for t in texts]), np.array([q for _, q in known], float)
+    rows = x[[i for i, _ in known]]
+    scale = rows.std(axis=0)
+    features = quality.fourier(x, rows.mean(axis=0), np.where(scale > 0, scale, 1.0))
+    z = features[[i for i, _ in known]]
+    shrink = np.sqrt(quality.RIDGE * len(z)) * np.eye(z.shape[1])[:-1]  # the constant is not penalised
+    weights = np.linalg.lstsq(np.r_[z, shrink], np.r_[y, np.zeros(len(shrink))], rcond=None)[0]
+    raw = features @ weights
+    place = np.clip(np.floor((raw + 0.5) / 2 * quality.BINS), 0, quality.BINS - 1).astype(int)
+    seen = place[[i for i, _ in known]]
+    bins = np.unique(seen)
+    total, size = (np.array([v[seen == b].sum() for b in bins]) for v in (y, np.ones(len(y))))
+    steps = [max(min(total[a:c + 1].sum() / size[a:c + 1].sum() for c in range(i, len(bins))) for a in range(i + 1)) for i in range(len(bins))]
+    want = np.interp(raw, -0.5 + (bins + 0.5) * 2 / quality.BINS, steps)
+    error = np.abs(np.array([got[i] for i in range(len(texts))]) - want)
+    assert np.median(error) < 1e-9 and (error > 0.02).mean() < 0.02  # a row on the border of two bins may change sides

@@ -12,6 +12,7 @@ an empty result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm.common import stored, table
 from millrace.llm.exact_dedup import exact_duplicates
@@ -23,15 +24,19 @@ from millrace.llm.quality import quality_scores
 WORDS, PERCENT = 5, 80
 
 
+BROADCAST_IDS = 500_000  # dropped ids that every task may hold; with more of them both sides are shuffled
+
+
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Documents whose id is not among ``dropped``; the smaller side is hashed and texts are not sorted."""
-    ids = dropped.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(ids.hint("shuffle_hash"), "doc_id", "left_anti").select(docs.columns)
+    """Documents whose id is not among ``dropped``. Texts are moved only where the ids are too many to broadcast."""
+    ids = stored(dropped.where("doc_id IS NOT NULL").select("doc_id").distinct(), "dropped")
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
+    return docs.join(ids, "doc_id", "left_anti").select(docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on the labelled ones among them, doesn't reject."""
-    return _without(docs, stored(quality_scores(docs, table(spark, sf_dir, "labels")).where("predicted = 0"), "rejected"))
+    return _without(docs, quality_scores(docs, table(spark, sf_dir, "labels")).where("predicted = 0"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

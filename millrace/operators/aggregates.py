@@ -67,8 +67,9 @@ def range_number(value: str, bounds: list) -> Column:
         return F.lit(0)
     steps = F.array(*[F.lit(1 << k) for k in range(len(bounds).bit_length() - 1, -1, -1)])
     array = F.array(*[F.lit(b) for b in bounds])
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
         (at + step <= len(bounds)) & (F.element_at(array, F.least(at + step, F.lit(len(bounds)))) <= F.col(value)), at + step).otherwise(at))
+    return F.coalesce(found, F.lit(0))  # never null, so a join adds no condition and both its sides stay the same
 
 
 def ranked_values(df: DataFrame, by: list[str], value: str) -> DataFrame:

@@ -107,7 +107,7 @@ def test_key_shares_need_no_single_partition_window(spark, sides):
 
 
 def test_hot_group_is_ranked_in_many_ranges(spark):
-    rows = spark.range(20000).select(F.lit("hot").alias("g"), F.col("id").cast("double").alias("v"))
+    rows = spark.range(20000).select(F.when(F.col("id") < 0, "cold").otherwise("hot").alias("g"), F.col("id").cast("double").alias("v"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         ranked = aggregates.ranked_values(rows, ["g"], "v")

@@ -81,12 +81,15 @@ def ranked_values(df: DataFrame, by: list[str], value: str) -> DataFrame:
     range. Where ranges begin is fixed beforehand, by quantiles of all distinct values: every
     read and every task that is redone sees the same ranges, and nothing has to be stored.
     """
+    return ranked_counts(df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("copies")), by, value)
+
+
+def ranked_counts(counts: DataFrame, by: list[str], value: str) -> DataFrame:
+    """``ranked_values`` of distinct values whose ``copies`` are already counted."""
     # the keys as one struct: equal also where a key is NULL, and one partitioning serves
     # the window and the join
     group = F.struct(*by).alias("_group")
-    counts = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
-              .agg(F.count(F.lit(1)).alias("copies")))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = counts.agg(F.percentile_approx(value, [k / n for k in range(1, n)] or [0.5], 10 * n)).first()[0]
     ranges = counts.select(group, value, "copies", range_number(value, sorted({c for c in cuts or [] if c == c})).alias("_range"))
     earlier_ranges = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)

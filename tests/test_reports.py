@@ -160,6 +160,67 @@ def test_boosting_on_the_given_table_fits_better_than_the_mean(spark):
     assert row["left_of_train"] < row["spread_of_train"] and row["n"] > 0
 
 
+def _by_rows(frame, numeric, category, label, rounds, bins):
+    """The same trees, grown by Spark on every row; up to 10,000 rows it looks at all of them for cuts."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import GBTRegressor
+    stages = model.feature_stages(model.training_facts(frame, numeric, category, label), category)
+    trees = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, stepSize=0.1, maxDepth=3, maxBins=bins, seed=7)
+    return Pipeline(stages=[*stages, trees]).fit(frame)
+
+
+def test_trees_of_cells_are_those_of_the_rows(spark):
+    chance = np.random.default_rng(11)
+    n = 3000
+    x = np.where(chance.random(n) < 0.3, 2.0, chance.normal(size=n))  # one value spans several shares, the others are single
+    z = chance.integers(0, 50, size=n)  # more values than bins, each many times
+    y = 3 * np.sin(2 * x) + 0.1 * z + chance.normal(size=n)
+    group = chance.integers(0, 3, size=n)
+    frame = spark.createDataFrame([(float(a), float(b), "abc"[g], float(t + g)) for a, b, g, t in zip(x, z, group, y)], "x double, z double, g string, y double")
+    for bins in (5, 32):
+        rows = _by_rows(frame, ["x", "z"], "g", "y", 8, bins).transform(frame).select("x", "z", "g", F.col("prediction").alias("by_rows"))
+        scored = model.fit_boosted(frame, ["x", "z"], "g", "y", rounds=8, bins=bins).transform(rows)
+        assert scored.where(F.abs(F.col("prediction") - F.col("by_rows")) > 1e-9).count() == 0
+
+
+def test_rounds_read_cells_however_often_rows_repeat(spark, monkeypatch):
+    seen = []
+
+    class Watched(model.GBTRegressor):
+        def _fit(self, dataset):
+            seen.append(dataset.count())
+            return super()._fit(dataset)
+
+    monkeypatch.setattr(model, "GBTRegressor", Watched)
+    frame = _frame(spark)[0]
+    few = model.fit_boosted(frame, ["x", "z"], "g", "y", rounds=3).transform(frame).select("x", "prediction")
+    often = frame.crossJoin(spark.range(20).select())
+    many = model.fit_boosted(often, ["x", "z"], "g", "y", rounds=3).transform(frame).select("x", F.col("prediction").alias("p"))
+    assert seen[0] == seen[1] <= 120
+    assert few.join(many, "x").where(F.abs(F.col("prediction") - F.col("p")) > 1e-9).count() == 0
+
+
+def test_a_value_of_one_row_in_many_is_cut_off(spark):
+    rows = spark.range(40_000).select(F.when(F.col("id") == 77, 1.0).otherwise(0.0).alias("x"), F.when(F.col("id") == 77, 500.0).otherwise(1.0).alias("y"))
+    scored = model.fit_boosted(rows, ["x"], None, "y", rounds=1, depth=1).transform(rows)
+    got = {r["x"]: r["prediction"] for r in scored.groupBy("x").agg(F.first("prediction").alias("prediction")).collect()}
+    assert got == pytest.approx({0.0: 1.0, 1.0: 500.0})
+
+
+def test_rows_that_are_all_alike_are_predicted_by_their_mean(spark):
+    frame = spark.createDataFrame([(2.0, "a", float(i)) for i in range(5)], "x double, g string, y double")
+    scored = model.fit_boosted(frame, ["x"], "g", "y", rounds=2).transform(frame)
+    assert [r["prediction"] for r in scored.collect()] == pytest.approx([2.0] * 5)
+
+
+def test_a_missing_number_is_refused_by_the_trees(spark):
+    frame = _frame(spark)[0]
+    fitted = model.fit_boosted(frame, ["x", "z"], "g", "y", rounds=1)
+    for missing in (None, float("nan")):
+        with pytest.raises(Exception, match="(?i)null|nan"):
+            fitted.transform(frame.withColumn("z", F.lit(missing).cast("double"))).select("prediction").collect()
+
+
 def test_quartiles_leave_nothing_in_the_shared_folder(spark):
     import os
     from millrace.operators.aggregates import exclusive_quartiles

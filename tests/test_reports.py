@@ -221,6 +221,28 @@ def test_a_missing_number_is_refused_by_the_trees(spark):
             fitted.transform(frame.withColumn("z", F.lit(missing).cast("double"))).select("prediction").collect()
 
 
+def test_boosted_error_is_that_of_a_hundred_trees_on_all_columns(spark, tmp_path):
+    import duckdb
+    from millrace.plans.registry import ORACLES
+    from millrace.plans.reports import o4_o5_boosted_error
+    chance = np.random.default_rng(5)
+    rows = []
+    for i in range(2000):
+        quantity, discount, tax, flag = float(chance.integers(1, 51)), float(chance.random()), int(chance.integers(0, 9)) / 100, "ANR"[chance.integers(0, 3)]
+        price = 900 * tax * (flag == "R") + 40 * (discount > 0.6) * (flag != "A") + 0.05 * quantity + float(chance.normal())
+        rows.append((i, i % 7, i % 97, quantity, discount, tax, flag, price))
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_quantity double, l_discount double, l_tax double, "
+                                        "l_returnflag string, l_extendedprice double")
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    row = o4_o5_boosted_error(spark, str(tmp_path)).first()
+    assert row["mae_of_trees"] < row["mae"] / 5 and row["left_by_trees"] < row["left_by_mean"] / 5  # one cut on one number sees none of it
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+        answer = con.execute(ORACLES["o4_o5_boosted_error"])
+        want = dict(zip([d[0] for d in answer.description], answer.fetchone()))
+    assert row.asDict() == pytest.approx(want, abs=0.002)
+
+
 def test_quartiles_leave_nothing_in_the_shared_folder(spark):
     import os
     from millrace.operators.aggregates import exclusive_quartiles
